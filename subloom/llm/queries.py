@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from subloom.llm.lookalike import form_sql, look_like_entries, visual_form
 from subloom.llm.nearest import nearest_in_time
 from subloom.session import table
 
@@ -33,3 +34,26 @@ r AS (SELECT cue_id, turn_id, row_number() OVER (PARTITION BY cue_id ORDER BY ab
       FROM c JOIN t ON c.episode = t.episode AND c.sp = t.sp AND abs(x - t) <= 500000)
 SELECT cue_id, turn_id FROM r WHERE n = 1
 """
+
+
+@query
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    cues = table(spark, d, "cue_labels")
+    roles = look_like_entries(cues, "cue_id", "role", table(spark, d, "role_catalog"), "role_id", "role")
+    texts = look_like_entries(cues, "cue_id", "text", table(spark, d, "set_phrases"), "phrase_id", "text")
+    return roles.select(F.lit("role").alias("field_name"), "cue_id", F.col("role_id").alias("ref_id")).unionByName(
+        texts.select(F.lit("text").alias("field_name"), "cue_id", F.col("phrase_id").alias("ref_id"))
+    )
+
+
+@query
+def p3_forms(spark: SparkSession, d: str) -> DataFrame:
+    return visual_form(table(spark, d, "cue_labels").select("cue_id", "role", "text"), ["role", "text"])
+
+
+SQL["p3_forms"] = f"SELECT cue_id, role, text, {form_sql('role')} AS role_form, {form_sql('text')} AS text_form FROM cue_labels"
+SQL["p3_found"] = f"""
+WITH c AS (SELECT cue_id, role, text, {form_sql('role')} AS rf, {form_sql('text')} AS tf FROM cue_labels)
+SELECT 'role' AS field_name, cue_id, role_id AS ref_id FROM c JOIN role_catalog e ON c.rf = {form_sql('e.role')} AND c.role <> e.role
+UNION ALL SELECT 'text', cue_id, phrase_id FROM c JOIN set_phrases e ON c.tf = {form_sql('e.text')} AND c.text <> e.text
+"""
