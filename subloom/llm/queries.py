@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subloom.llm.lookalike import form_sql, look_like_entries, visual_form
+from subloom.llm.mojibake import repair
 from subloom.llm.nearest import nearest_in_time
 from subloom.session import table
 
@@ -57,3 +58,13 @@ WITH c AS (SELECT cue_id, role, text, {form_sql('role')} AS rf, {form_sql('text'
 SELECT 'role' AS field_name, cue_id, role_id AS ref_id FROM c JOIN role_catalog e ON c.rf = {form_sql('e.role')} AND c.role <> e.role
 UNION ALL SELECT 'text', cue_id, phrase_id FROM c JOIN set_phrases e ON c.tf = {form_sql('e.text')} AND c.text <> e.text
 """
+
+
+@query
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return repair(table(spark, d, "cue_labels"), "cue_id", "text").select("cue_id")
+
+
+@query
+def p7_restored(spark: SparkSession, d: str) -> DataFrame:
+    return repair(table(spark, d, "cue_labels"), "cue_id", "text")
