@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from subloom.llm.leaks import leaks
 from subloom.llm.lookalike import form_sql, look_like_entries, visual_form
 from subloom.llm.mojibake import repair
 from subloom.llm.nearest import nearest_in_time
@@ -68,3 +69,18 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p7_restored(spark: SparkSession, d: str) -> DataFrame:
     return repair(table(spark, d, "cue_labels"), "cue_id", "text")
+
+
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
+
+
+@query
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).where("passage > 0").select("doc_id", "item_id")
+
+
+@query
+def p8_leaked_items(spark: SparkSession, d: str) -> DataFrame:
+    hits = _leaks(spark, d).groupBy("item_id").agg(F.count("*").alias("n_documents"), F.max(F.col("covered") / F.col("item_signs")).alias("most_covered"))
+    return table(spark, d, "eval_items").select("item_id", "lang").join(hits, "item_id", "left").na.fill(0, ["n_documents"])
