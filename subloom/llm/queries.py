@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from subloom.llm.cutoff import rates, scored
 from subloom.llm.leaks import leaks
 from subloom.llm.lookalike import form_sql, look_like_entries, visual_form
 from subloom.llm.mojibake import repair
@@ -84,3 +85,17 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 def p8_leaked_items(spark: SparkSession, d: str) -> DataFrame:
     hits = _leaks(spark, d).groupBy("item_id").agg(F.count("*").alias("n_documents"), F.max(F.col("covered") / F.col("item_signs")).alias("most_covered"))
     return table(spark, d, "eval_items").select("item_id", "lang").join(hits, "item_id", "left").na.fill(0, ["n_documents"])
+
+
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    return scored(table(spark, d, "documents"), "doc_id", "text", "source")
+
+
+@query
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d).where("is_cut").select("doc_id")
+
+
+@query
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    return rates(_scored(spark, d), "source")
