@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from subloom.llm.consensus import consensus
 from subloom.llm.cutoff import rates, scored
 from subloom.llm.leaks import leaks
 from subloom.llm.lookalike import form_sql, look_like_entries, visual_form
 from subloom.llm.mojibake import repair
 from subloom.llm.nearest import nearest_in_time
-from subloom.session import table
+from subloom.session import present, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -99,3 +100,27 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p10_rates(spark: SparkSession, d: str) -> DataFrame:
     return rates(_scored(spark, d), "source")
+
+
+def _ensemble(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    kind = "map<string, struct<status: string, candidate: string>>"
+    votes = F.transform(
+        F.filter(F.map_entries(F.from_json("model_candidates_json", kind)), lambda e: (e["value"]["status"] == "eligible") & present(e["value"]["candidate"])),
+        lambda e: F.struct(e["key"].alias("model"), e["value"]["candidate"].alias("label")),
+    )
+    return consensus(table(spark, d, "voice_ensemble"), "ens_id", votes)
+
+
+@query
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return _ensemble(spark, d)[0].where("n_votes >= 2").select("ens_id", F.col("consensus").alias("consensus_role"))
+
+
+@query
+def p6_agreement(spark: SparkSession, d: str) -> DataFrame:
+    return _ensemble(spark, d)[0].withColumnRenamed("consensus", "consensus_role")
+
+
+@query
+def p6_reliability(spark: SparkSession, d: str) -> DataFrame:
+    return _ensemble(spark, d)[1]
