@@ -9,6 +9,7 @@ from subloom.llm.consensus import consensus
 from subloom.llm.cutoff import rates, scored
 from subloom.llm.leaks import leaks
 from subloom.llm.lookalike import form_sql, look_like_entries, visual_form
+from subloom.llm.mixing import mix, shuffled_shards
 from subloom.llm.mojibake import repair
 from subloom.llm.nearest import nearest_in_time
 from subloom.session import present, table
@@ -124,3 +125,22 @@ def p6_agreement(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p6_reliability(spark: SparkSession, d: str) -> DataFrame:
     return _ensemble(spark, d)[1]
+
+
+def _mixed(spark: SparkSession, d: str):
+    return mix(table(spark, d, "documents"), "doc_id", "text", "source", table(spark, d, "mix_targets"))
+
+
+@query
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d).documents
+
+
+@query
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d).shares
+
+
+@query
+def p9_shards(spark: SparkSession, d: str) -> DataFrame:
+    return shuffled_shards(_mixed(spark, d).copies, 16)
