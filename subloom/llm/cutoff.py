@@ -191,7 +191,7 @@ def scored(df: DataFrame, key: str, text: str, source: str, sample: int = SAMPLE
     usable = limited.where(F.trim("t") != "")
     share = min(1.0, 1.1 * sample / max(1, rows.where(F.trim("t") != "").count()))
     lot = F.xxhash64(F.lit(11), "k", "t")
-    drawn = usable.where(lot <= int(-(2**63) + share * (2**64 - 1))).select("t", "chars", "bytes", lot.alias("h"))
+    drawn = usable.where(lot <= min(2**63 - 1, int(-(2**63) + share * 2**64))).select("t", "chars", "bytes", lot.alias("h"))
     chosen = drawn.limit(2 * sample).toPandas().sort_values(["h", "t"], kind="stable")[:sample]
     examples = [(t, None if pd.isna(c) else int(c), None if pd.isna(b) else int(b)) for t, c, b in zip(chosen["t"], chosen["chars"], chosen["bytes"])]
     weights, _ = fit(examples)
