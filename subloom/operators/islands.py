@@ -1,47 +1,17 @@
 """Continuous periods and gaps of time intervals per entity, without a whole entity in one task.
 
 The running maximum of earlier ends is the only value that crosses a split of an entity's time line,
-so the line is cut into blocks of 2**20 positions (17 minutes of milliseconds) and the maxima of whole
-blocks are carried over a tree of blocks, 4096 children per node. Every window then sorts a group
-whose size is bounded by the block width, whatever share of all rows an entity holds.
+so it is carried from block to block of the line (see :mod:`subloom.operators.ordered`).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from subloom.operators.ordered import carried
 from subloom.session import require_columns
 
-#: Bits of a position below each level of blocks; above the last one at most 2**20 blocks remain.
-LEVELS = (20, 32, 44)
-
-
-def carried_max(df: DataFrame, keys: list[str], pos: str, val: Column, out: str) -> DataFrame:
-    """Add ``out``: the maximum of ``val`` over the rows of the same ``keys`` with a smaller ``pos``.
-
-    ``pos`` is a BIGINT that occurs once per key; ``val`` may be null (ignored). ``out`` is null where no
-    smaller position has a value.
-    """
-    names = [f"_b{bits}" for bits in LEVELS]
-    base = df.withColumn("_val", val).withColumn(names[0], F.shiftright(pos, LEVELS[0]))
-    sums = [base.groupBy(*keys, names[0]).agg(F.max("_val").alias("_m"))]
-    for low, high, bits in zip(names, names[1:], (b - a for a, b in zip(LEVELS, LEVELS[1:]))):
-        up = sums[-1].withColumn(high, F.shiftright(low, bits))
-        sums[-1] = up
-        sums.append(up.groupBy(*keys, high).agg(F.max("_m").alias("_m")))
-    before = (Window.unboundedPreceding, -1)
-    top = Window.partitionBy(*keys).orderBy(names[-1]).rowsBetween(*before)
-    carry = sums[-1].select(*keys, names[-1], F.max("_m").over(top).alias("_carry"))
-    for level in range(len(names) - 2, -1, -1):
-        w = Window.partitionBy(*keys, names[level + 1]).orderBy(names[level]).rowsBetween(*before)
-        inner = sums[level].withColumn("_in", F.max("_m").over(w))
-        carry = inner.join(carry, [*keys, names[level + 1]]).select(*keys, names[level], F.greatest("_in", "_carry").alias("_carry"))
-    w = Window.partitionBy(*keys, names[0]).orderBy(pos).rowsBetween(*before)
-    rows = base.withColumn("_in", F.max("_val").over(w)).join(carry, [*keys, names[0]])
-    return rows.withColumn(out, F.greatest("_in", "_carry")).drop("_val", "_in", "_carry", names[0])
-
-
 def sound_intervals(df: DataFrame, entity: str, start: str, end: str) -> DataFrame:
     """(entity, start, end) as BIGINT of the rows with both bounds present, end after start, entity present."""
     require_columns(df, entity, start, end)
@@ -59,10 +29,10 @@ def periods_and_gaps(df: DataFrame, entity: str = "episode", start: str = "start
     out; repeated rows change nothing; other columns are ignored. An empty table gives no rows.
     """
     rows = sound_intervals(df, entity, start, end).groupBy("_e", "_s").agg(F.max("_t").alias("_t"))
-    rows = carried_max(rows, ["_e"], "_s", F.col("_t"), "_reach")
+    rows = carried(rows, ["_e"], "_s", F.col("_t"), "_reach")
     opens = F.col("_reach").isNull() | (F.col("_s") > F.col("_reach"))
     rows = rows.withColumn("_open", opens)
-    labelled = carried_max(rows, ["_e"], "_s", F.when(F.col("_open"), F.col("_s")), "_before")
+    labelled = carried(rows, ["_e"], "_s", F.when(F.col("_open"), F.col("_s")), "_before")
     labelled = labelled.withColumn("_island", F.when(F.col("_open"), F.col("_s")).otherwise(F.col("_before")))
     gap = F.col("_open") & F.col("_reach").isNotNull()
     islands = labelled.groupBy("_e", "_island").agg(F.max("_t").alias("_t"), F.max(F.when(gap, F.col("_reach"))).alias("_reach"))

@@ -9,8 +9,8 @@ from subloom.operators.islands import periods_and_gaps
 from subloom.operators.malformed import judge_records
 from subloom.session import table
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from subloom.plans import cue_queries, keyed_queries, text_queries  # noqa: E402,F401
+from subloom.plans.registry import QUERIES, SQL  # noqa: E402
 
 
 def query(f):
