@@ -30,6 +30,8 @@ DIMENSIONS = 1 << 18
 MARKS = {"": 0.6, "...": 0.14, "�": 0.14, " ...": 0.02, "[...]": 0.02, "-": 0.02, "\n": 0.02, "」": 0.01, "…": 0.005, "……": 0.005}
 #: A length is taken for a limit of its source if so many texts have exactly that length, and this share of the source's texts.
 LIMIT_TEXTS, LIMIT_SHARE = 6, 0.01
+#: Limits of up to so many sources are sent to every worker.
+HELD_SOURCES = 10_000
 #: The sample is cleaned of texts that really are cut: each part is judged by a fit on the others, this many times, and kept below this probability.
 FOLDS, ROUNDS, SOUND = 3, 3, 0.3
 #: Probability from which a text counts as cut: far more of the examples than of real texts are cut.
@@ -187,6 +189,9 @@ def scored(df: DataFrame, key: str, text: str, source: str, sample: int = SAMPLE
     spark = df.sparkSession
     rows = df.select(F.col(key).alias("k"), F.col(source).cast("string").alias("s"), F.col(text).alias("t"))
     limits = _limits(rows.where(F.col("t").isNotNull()).withColumn("s", F.coalesce("s", F.lit("\0")))).withColumnRenamed("s", "ls")
+    few = limits.limit(HELD_SOURCES + 1).collect()
+    if len(few) <= HELD_SOURCES:  # else the limits are joined by an exchange
+        limits = F.broadcast(spark.createDataFrame(few, limits.schema))
     limited = rows.join(limits, F.coalesce(rows["s"], F.lit("\0")) == F.col("ls"), "left").drop("ls")
     usable = limited.where(F.trim("t") != "")
     share = min(1.0, 1.1 * sample / max(1, rows.where(F.trim("t") != "").count()))
