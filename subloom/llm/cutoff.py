@@ -47,8 +47,22 @@ def _shape(line: str) -> str:
     return line[-16:]
 
 
-def features(text: str, char_limit: int | None, byte_limit: int | None) -> list[int]:
-    """Slots of the features of a text; the limits are those of its source."""
+def _slots(names: list[str]) -> list[int]:
+    return [crc32(x.encode("utf-8", "surrogatepass")) & (DIMENSIONS - 1) for x in names]
+
+
+def at_limits(text: str, char_limit: int | None, byte_limit: int | None) -> list[int]:
+    """Slots of the features that tell how far a text is from its source's limits."""
+    out = []
+    if char_limit:
+        out += [f"C{max(-4, min(4, len(text) - char_limit))}", f"C{len(text) == char_limit}|{text[-1:]}"]
+    if byte_limit:
+        out.append(f"B{max(-4, min(4, len(text.encode()) - byte_limit))}")
+    return _slots(out)
+
+
+def closing(text: str) -> list[int]:
+    """Slots of the features of a text's end."""
     tail = text[-160:]
     seen = tail.rstrip(" \t\r\n　")
     core = _TRAIL.sub("", seen)
@@ -68,14 +82,13 @@ def features(text: str, char_limit: int | None, byte_limit: int | None) -> list[
     # a subtitle's text follows a line with times
     cue = "-->" in before or (len(lines) > 2 and "-->" in lines[-3 if before else -2])
     out += [f"q{cue}|{'-->' in last}|{mark[:1]}|{script}", f"q{cue}|{mark[:1]}|{core[-2:]}"]
-    size = len(text.encode())
-    if char_limit:
-        out.append(f"C{max(-4, min(4, len(text) - char_limit))}")
-        out.append(f"C{len(text) == char_limit}|{mark[:1]}")
-    if byte_limit:
-        out.append(f"B{max(-4, min(4, size - byte_limit))}")
-    out.append(f"P{(size + 3) % 256 < 6}")
-    return [crc32(x.encode("utf-8", "surrogatepass")) & (DIMENSIONS - 1) for x in out]
+    out.append(f"P{(len(text.encode()) + 3) % 256 < 6}")
+    return _slots(out)
+
+
+def features(text: str, char_limit: int | None, byte_limit: int | None) -> list[int]:
+    """Slots of all features of a text; the limits are those of its source."""
+    return closing(text) + at_limits(text, char_limit, byte_limit)
 
 
 def _padded(rows: list[list[int]]) -> np.ndarray:
@@ -129,7 +142,7 @@ def fit(sample: list[tuple[str, int | None, int | None]], seed: int = 7) -> tupl
     held = max(1, len(sample) // 10)
     own, artificial = [], []
     for text, chars, size in sample:
-        own.append(features(text, chars, size))
+        own.append((closing(text), at_limits(text, chars, size)))
         made = []
         for _ in range(CUTS):
             part = cut(text, rng)
@@ -137,28 +150,30 @@ def fit(sample: list[tuple[str, int | None, int | None]], seed: int = 7) -> tupl
                 continue
             # as a field limit would have cut it, or at no limit at all
             at = rng.random()
-            made.append(features(part, len(part) if chars and at < 0.15 else chars, len(part.encode()) if size and 0.15 <= at < 0.3 else size))
+            limited = at_limits(part, len(part) if chars and at < 0.15 else chars, len(part.encode()) if size and 0.15 <= at < 0.3 else size)
+            made.append((closing(part), limited))
         artificial.append(made)
     kept = np.ones(len(sample), bool)
     fold = np.arange(len(sample)) % FOLDS
 
-    def learn(chosen: np.ndarray) -> np.ndarray | None:
+    # which texts are intact is judged by their ends alone: most texts at a limit are cut
+    def learn(chosen: np.ndarray, whole: bool) -> np.ndarray | None:
         rows = [(own[i], 0) for i in np.flatnonzero(chosen & kept)] + [(r, 1) for i in np.flatnonzero(chosen) for r in artificial[i]]
         y = np.array([y for _, y in rows], float)
-        return train(_padded([r for r, _ in rows]), y) if 0 < y.sum() < len(y) else None
+        return train(_padded([a + b if whole else a for (a, b), _ in rows]), y) if 0 < y.sum() < len(y) else None
 
     for _ in range(ROUNDS):
         judged = np.zeros(len(sample))
         for k in range(FOLDS):
-            if (w := learn(fold != k)) is None:
+            if (w := learn(fold != k, False)) is None:
                 return np.zeros(DIMENSIONS + 2), {"texts": len(sample), "held_out": 0}
             at = np.flatnonzero(fold == k)
-            judged[at] = score(w, [own[i] for i in at])
+            judged[at] = score(w, [own[i][0] for i in at])
         kept = judged < SOUND
-    w = learn(np.arange(len(sample)) >= held)
+    w = learn(np.arange(len(sample)) >= held, True)
     if w is None:
         return np.zeros(DIMENSIONS + 2), {"texts": len(sample), "held_out": 0}
-    a, b = score(w, own[:held]), [r for m in artificial[:held] for r in m]
+    a, b = score(w, [x + y for x, y in own[:held]]), [x + y for m in artificial[:held] for x, y in m]
     found = score(w, b) >= BAR if b else np.zeros(0)
     return w, {"texts": len(sample), "held_out": held, "cut_found": float(np.mean(found)) if len(found) else 0.0, "intact_taken": float((a >= BAR).mean())}
 
