@@ -35,7 +35,7 @@ def test_planted_passages(spark):
     items = [(i, letters(rng, 400), "") for i in range(12)]
     docs, want = [], set()
     for k in range(300):
-        i, size = rng.randrange(12), rng.choice([60, 100, 104, 116, 130, 220, 400])
+        i, size = rng.randrange(12), rng.choice([60, 90, 98, 116, 130, 220, 400])
         at = rng.randrange(0, 400 - size + 1)
         part = items[i][1][at : at + size]
         edits = rng.choice([0, 0, size // 25, size // 20, size // 8])
@@ -44,7 +44,7 @@ def test_planted_passages(spark):
         docs.append((k, letters(rng, 80) + " ... " + styled + "!" + letters(rng, 50), ""))
         if size >= 116 and edits <= size // 25:
             want.add((k, i))
-        if size <= 104:
+        if size <= 98:  # a few more signs can be had for five edits
             docs[-1] = (*docs[-1][:2], "short")
     got = run(spark, docs, items, min_cover=2.0)
     assert want <= set(got)
@@ -56,7 +56,7 @@ def test_reordered_parts_count_as_coverage(spark):
     rng = random.Random(11)
     text = letters(rng, 300)
     parts = [text[i : i + 50] for i in range(0, 300, 50)]
-    rng.shuffle(parts)
+    parts.reverse()
     got = run(spark, [(1, " x ".join(parts), ""), (2, letters(rng, 300), "")], [(5, text, "")])
     assert set(got) == {(1, 5)} and got[1, 5]["covered"] >= 280 and got[1, 5]["passage"] == 0
 
