@@ -9,7 +9,7 @@ from subloom.operators.islands import periods_and_gaps
 from subloom.operators.malformed import judge_records
 from subloom.session import table
 
-from subloom.plans import cue_queries, keyed_queries, stream_queries, text_queries  # noqa: E402,F401
+from subloom.plans import cue_queries, evidence_queries, keyed_queries, stream_queries, text_queries  # noqa: E402,F401
 from subloom.plans.registry import QUERIES, SQL  # noqa: E402
 
 
