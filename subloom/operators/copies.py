@@ -16,22 +16,26 @@ def plain_text(c: Column) -> Column:
     return F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), "\r\n?", "\n")
 
 
-def _cells(df: DataFrame, keys: list[str], columns: dict[str, str], buckets: int) -> DataFrame:
-    """One row per (column, bucket) of the distinct (key, value) pairs: two independent additive 64-bit hashes and the count.
+def key_hash(keys: list[str]) -> Column:
+    """The hash of a key; which of its parts are null is hashed as well, since the hash function passes nulls over."""
+    return F.xxhash64(*keys, *[F.col(k).isNull() for k in keys])
 
-    Only hashes are exchanged here; the values stay where they are read.
+
+def _matrix(df: DataFrame, keys: list[str], columns: list[str], buckets: int) -> DataFrame:
+    """One row per bucket of keys: for the keys and each column two additive 64-bit hashes summed over the distinct rows.
+
+    Only hashes are exchanged here, one row of them per row of the table; the values stay where they are read. A
+    column's sums are equal on both sides only if the same (key, value) pairs occur as often among the distinct rows,
+    so cells with equal sums hold no difference; repeats that disagree can at most make a cell look unequal.
     """
-    name = lambda k: F.col(k)
-    key = [F.xxhash64(*map(name, keys)).alias("_k1"), F.xxhash64(F.lit("key"), *map(name, keys)).alias("_k2")]
-    value = lambda source, tag: F.struct(
-        F.lit(tag).alias("column"), (F.xxhash64(F.lit(tag), plain_text(F.col(source))) if source else F.lit(0).cast("bigint")).alias("_v")
-    )
-    pairs = [value(None, "")] + [value(source, tag) for tag, source in columns.items()]
-    narrow = df.select(*key, F.explode(F.array(*pairs)).alias("_c")).select("_k1", "_k2", "_c.column", "_c._v").distinct()
-    wide = lambda seed: F.xxhash64(F.lit(seed), "_k1", "_k2", "_v").cast("decimal(38,0)")
-    return narrow.groupBy("column", F.pmod("_k1", F.lit(buckets)).alias("_bucket")).agg(
-        F.sum(wide(1)).alias("_a"), F.sum(wide(2)).alias("_b"), F.count("*").alias("_n")
-    )
+    key = key_hash(keys)
+    values = [F.xxhash64(F.lit(i), key, plain_text(F.col(c))).alias(f"_v{i}") for i, c in enumerate(columns)]
+    narrow = df.select(key.alias("_k"), *values).distinct()
+    # the keys' own sums tell keys apart that only one side has
+    cells = ["_k", *[f"_v{i}" for i in range(len(columns))]]
+    wide = lambda seed, c: F.sum(F.xxhash64(F.lit(seed), "_k", c).cast("decimal(38,0)"))
+    sums = [wide(seed, c).alias(f"_s{seed}{i}") for i, c in enumerate(cells) for seed in (1, 2)]
+    return narrow.groupBy(F.pmod("_k", F.lit(buckets)).alias("_bucket")).agg(*sums)
 
 
 def differences(left: DataFrame, right: DataFrame, keys: list[str], columns: dict[str, tuple[str, str]], names=("left", "right"), buckets: int | None = None) -> DataFrame:
@@ -55,23 +59,20 @@ def differences(left: DataFrame, right: DataFrame, keys: list[str], columns: dic
     ]
     keyed = [f"_key{i}" for i in range(len(keys))]
     tags = {tag: f"_col{i}" for i, tag in enumerate(columns)}
-    matrix = [_cells(df, keyed, tags, buckets) for df in sides]
-    both = matrix[0].withColumn("_side", F.lit(0)).unionByName(matrix[1].withColumn("_side", F.lit(1)))
-    spread = [F.min(c) != F.max(c) for c in ("_a", "_b", "_n")]
-    unequal = (
-        both.groupBy("column", "_bucket")
-        .agg((reduce(lambda a, b: a | b, spread) | (F.count("*") < 2)).alias("_unequal"))
-        .where("_unequal")
-        .groupBy("_bucket")
-        .agg(F.collect_set("column").alias("_columns"))  # at most one entry per compared column
-    )
+    matrix = [_matrix(df, keyed, list(tags.values()), buckets) for df in sides]
+    both = matrix[0].unionByName(matrix[1])
+    differs = lambda i: (F.min(f"_s1{i}") != F.max(f"_s1{i}")) | (F.min(f"_s2{i}") != F.max(f"_s2{i}")) | (F.count("*") < 2)
+    unequal = both.groupBy("_bucket").agg(*[differs(i).alias(f"_u{i}") for i in range(len(tags) + 1)])
+    unequal = unequal.where(reduce(lambda a, b: a | b, [F.col(f"_u{i}") for i in range(len(tags) + 1)]))
     located = []
     for side, df in enumerate(sides):
-        bucket = F.pmod(F.xxhash64(*keyed), F.lit(buckets))
-        entries = [F.struct(F.lit("").alias("column"), F.lit("").alias("_v"))] + [F.struct(F.lit(t).alias("column"), plain_text(F.col(c)).alias("_v")) for t, c in tags.items()]
+        bucket = F.pmod(key_hash(keyed), F.lit(buckets))
+        # the key itself comes along from every unequal bucket, a value only from the unequal cells
+        entries = [F.struct(F.lit("").alias("column"), F.lit("").alias("_v"))] + [
+            F.when(F.col(f"_u{i + 1}"), F.struct(F.lit(t).alias("column"), plain_text(F.col(c)).alias("_v"))) for i, (t, c) in enumerate(tags.items())
+        ]
         hit = df.withColumn("_bucket", bucket).join(unequal, "_bucket")
-        wanted = F.filter(F.array(*entries), lambda e: F.array_contains("_columns", e["column"]) | (e["column"] == ""))
-        located.append(hit.select(*keyed, F.explode(wanted).alias("_e")).select(*keyed, "_e.column", "_e._v", F.lit(side).alias("_side")))
+        located.append(hit.select(*keyed, F.explode(F.array_compact(F.array(*entries))).alias("_e")).select(*keyed, "_e.column", "_e._v", F.lit(side).alias("_side")))
     values = located[0].unionByName(located[1]).groupBy(*keyed, "column", "_v").agg(F.max((F.col("_side") == 0).cast("int")).alias("_l"), F.max((F.col("_side") == 1).cast("int")).alias("_r"))
     per_key = values.groupBy(*keyed).agg(
         F.max("_l").alias("_l"),

@@ -47,3 +47,10 @@ def test_empty_and_equal(spark):
     assert run(spark, a, []) == [("e", 1, "missing_in_script")]
     assert run(spark, [], b) == [("e", 1, "missing_in_labels")]
     assert run(spark, [], []) == []
+
+
+def test_null_parts_of_a_key_are_told_apart(spark):
+    kind = "a string, b string, v string"
+    left, right = spark.createDataFrame([(None, "x", "1")], kind), spark.createDataFrame([("x", None, "1")], kind)
+    got = differences(left, right, ["a", "b"], {"v": ("v", "v")}).collect()
+    assert sorted(((r["a"], r["b"], r["difference"]) for r in got), key=repr) == sorted([(None, "x", "missing_in_right"), ("x", None, "missing_in_left")], key=repr)
