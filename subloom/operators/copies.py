@@ -7,8 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from subloom.session import checkpointed
+
 #: Rows of the larger copy per bucket of keys, on average.
 ROWS_PER_BUCKET = 8
+#: Up to so many unequal buckets are sent to every worker, so that equal rows aren't exchanged.
+HELD_BUCKETS = 500_000
 
 
 def plain_text(c: Column) -> Column:
@@ -63,7 +67,9 @@ def differences(left: DataFrame, right: DataFrame, keys: list[str], columns: dic
     both = matrix[0].unionByName(matrix[1])
     differs = lambda i: (F.min(f"_s1{i}") != F.max(f"_s1{i}")) | (F.min(f"_s2{i}") != F.max(f"_s2{i}")) | (F.count("*") < 2)
     unequal = both.groupBy("_bucket").agg(*[differs(i).alias(f"_u{i}") for i in range(len(tags) + 1)])
-    unequal = unequal.where(reduce(lambda a, b: a | b, [F.col(f"_u{i}") for i in range(len(tags) + 1)]))
+    unequal = checkpointed(unequal.where(reduce(lambda a, b: a | b, [F.col(f"_u{i}") for i in range(len(tags) + 1)])))
+    if unequal.count() <= HELD_BUCKETS:  # else rows and unequal buckets meet by an exchange
+        unequal = F.broadcast(unequal)
     located = []
     for side, df in enumerate(sides):
         bucket = F.pmod(key_hash(keyed), F.lit(buckets))

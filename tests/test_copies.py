@@ -1,5 +1,6 @@
 import random
 
+from subloom.operators import copies
 from subloom.operators.copies import differences
 
 L = "episode string, source_index int, role string, text string, difference string"
@@ -30,7 +31,7 @@ def brute(a, b):
     return sorted(out, key=repr)
 
 
-def test_against_brute_force(spark):
+def test_against_brute_force(spark, monkeypatch):
     rng = random.Random(4)
     values = [None, "", "a", "a ", "a\nb", "a\r\nb", "a\rb", "A", "長い" * 2000]
     make = lambda n: [(rng.choice(["e1", "e2", None]), rng.choice([1, 2, 3, 4, 5, 6, 7, 8, None]), rng.choice(values), rng.choice(values), "x") for _ in range(n)]
@@ -38,6 +39,8 @@ def test_against_brute_force(spark):
     b = [r if rng.random() < 0.7 else make(1)[0] for r in a] + make(5) + a[:4]
     for buckets in (1, 3, 64, None):
         assert run(spark, a, b, buckets=buckets) == brute(a, b)
+    monkeypatch.setattr(copies, "HELD_BUCKETS", 0)
+    assert run(spark, a, b) == brute(a, b)
 
 
 def test_empty_and_equal(spark):
