@@ -67,7 +67,10 @@ def boundaries(df: DataFrame, keys: list[str], pos: str, start: str, end: str, t
     """Add ``decision``, ``join_score``, ``split_score`` of the boundary before each row; null for the first of a key."""
     rows = previous(df, keys, pos, [end, text], "_prev")
     bare = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), f"[{T.BLANKS}]+", "")
-    judged = rows.withColumn("_b", F.when(F.col("_prev").isNotNull(), boundary(bare(F.col(f"_prev.{text}")), bare(F.col(text)), F.col(start) - F.col(f"_prev.{end}"))))
+    texts = rows.withColumn("_t", F.explode(F.array(F.struct(bare(F.col(f"_prev.{text}")).alias("a"), bare(F.col(text)).alias("b")))))
+    judged = F.when(F.col("_prev").isNotNull(), boundary(F.col("_t.a"), F.col("_t.b"), F.col(start) - F.col(f"_prev.{end}")))
+    # an array of one, exploded, is worked out once; a plain column would be for each of its fields
+    judged = texts.withColumn("_b", F.explode(F.array(judged)))
     return judged.select(*df.columns, "_b.decision", "_b.join_score", "_b.split_score")
 
 

@@ -10,8 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from subloom.session import checkpointed
+
 #: Bits of a position below each level of blocks; above the last one at most 2**20 blocks remain.
 LEVELS = (20, 32, 44)
+#: Up to so many blocks of all keys together, those of a key are taken in one step.
+FEW_BLOCKS = 100_000
 #: Rows of a block of numbered rows.
 BLOCK = 4096
 
@@ -21,7 +25,7 @@ def carried(df: DataFrame, keys: list[str], pos: str, val: Column, out: str, how
 
     ``pos`` is a BIGINT or INT that occurs once per key; ``val`` may be null (ignored) or a struct (max, min).
     ``out`` is null where no smaller position has a value. Null keys are a key like any other only if they are
-    replaced before: rows with a null key or position are left out.
+    replaced before: rows with a null key or position are left out. The blocks' values, one row each, are written once.
     """
     fold = {"max": F.max, "min": F.min, "sum": F.sum}[how]
     if how == "sum":
@@ -31,20 +35,31 @@ def carried(df: DataFrame, keys: list[str], pos: str, val: Column, out: str, how
         join = lambda a, b: F.when(F.col(b).isNull() | sign(F.col(a), F.col(b)), F.col(a)).otherwise(F.col(b))
     names = [f"_b{bits}" for bits in LEVELS]
     base = df.withColumn("_val", val).withColumn(names[0], F.shiftright(F.col(pos).cast("bigint"), LEVELS[0]))
-    sums = [base.groupBy(*keys, names[0]).agg(fold("_val").alias("_m"))]
+    blocks = checkpointed(base.groupBy(*keys, names[0]).agg(fold("_val").alias("_m")))
+    before = (Window.unboundedPreceding, -1)
+    if blocks.count() <= FEW_BLOCKS:
+        line = Window.partitionBy(*keys).orderBy(names[0]).rowsBetween(*before)
+        carry = blocks.select(*keys, names[0], fold("_m").over(line).alias("_carry"))
+    else:
+        carry = _tree(blocks, keys, names, fold, join, before)
+    w = Window.partitionBy(*keys, names[0]).orderBy(pos).rowsBetween(*before)
+    rows = base.withColumn("_in", fold("_val").over(w)).join(carry, [*keys, names[0]])
+    return rows.withColumn(out, join("_in", "_carry")).drop("_val", "_in", "_carry", names[0])
+
+
+def _tree(blocks: DataFrame, keys: list[str], names: list[str], fold, join, before) -> DataFrame:
+    """What each block takes over, level by level, so that no key's blocks come together."""
+    sums = [blocks]
     for low, high, bits in zip(names, names[1:], (b - a for a, b in zip(LEVELS, LEVELS[1:]))):
         sums[-1] = sums[-1].withColumn(high, F.shiftright(low, bits))
         sums.append(sums[-1].groupBy(*keys, high).agg(fold("_m").alias("_m")))
-    before = (Window.unboundedPreceding, -1)
     top = Window.partitionBy(*keys).orderBy(names[-1]).rowsBetween(*before)
     carry = sums[-1].select(*keys, names[-1], fold("_m").over(top).alias("_carry"))
     for level in range(len(names) - 2, -1, -1):
         w = Window.partitionBy(*keys, names[level + 1]).orderBy(names[level]).rowsBetween(*before)
         inner = sums[level].withColumn("_in", fold("_m").over(w))
         carry = inner.join(carry, [*keys, names[level + 1]]).select(*keys, names[level], join("_in", "_carry").alias("_carry"))
-    w = Window.partitionBy(*keys, names[0]).orderBy(pos).rowsBetween(*before)
-    rows = base.withColumn("_in", fold("_val").over(w)).join(carry, [*keys, names[0]])
-    return rows.withColumn(out, join("_in", "_carry")).drop("_val", "_in", "_carry", names[0])
+    return carry
 
 
 def previous(df: DataFrame, keys: list[str], pos: str, columns: list[str], out: str = "prev") -> DataFrame:

@@ -1,6 +1,8 @@
 import random
 
-from subloom.operators import spans
+import pytest
+
+from subloom.operators import ordered, spans
 from subloom.operators.islands import periods_and_gaps
 from subloom.operators.ordered import LEVELS, carried, numbered, previous, with_neighbours
 
@@ -22,7 +24,9 @@ def brute(rows, max_gap=None):
     return sorted(out, key=repr)
 
 
-def test_periods_against_brute_force_over_block_bounds(spark, rows):
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_periods_against_brute_force_over_block_bounds(spark, rows, monkeypatch, few):
+    monkeypatch.setattr(ordered, "FEW_BLOCKS", few)
     rng = random.Random(1)
     width = 1 << LEVELS[0]
     data = []
@@ -43,7 +47,9 @@ def test_periods_empty_touching_and_nested(spark, rows):
     assert rows(periods_and_gaps(df)) == [("a", "gap", 20, 25), ("a", "period", 0, 20), ("a", "period", 25, 30)]
 
 
-def test_running_values_and_neighbours(spark, rows):
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_running_values_and_neighbours(spark, rows, monkeypatch, few):
+    monkeypatch.setattr(ordered, "FEW_BLOCKS", few)
     pos = [0, 5, 6, 1 << 20, (1 << 20) + 1, 1 << 33, (1 << 45) + 7]
     df = spark.createDataFrame([("k", p, i) for i, p in enumerate(pos)], "k string, p bigint, v bigint")
     total = {r["p"]: r["s"] for r in carried(df, ["k"], "p", df["v"], "s", "sum").collect()}
@@ -56,8 +62,6 @@ def test_running_values_and_neighbours(spark, rows):
 
 
 def test_neighbours_across_blocks(spark, monkeypatch):
-    from subloom.operators import ordered
-
     monkeypatch.setattr(ordered, "BLOCK", 3)
     df = spark.createDataFrame([("k", p) for p in range(20)], "k string, p bigint")
     got = {r["p"]: r["around"] for r in with_neighbours(df, ["k"], "p", df["p"], 2, 2).collect()}
