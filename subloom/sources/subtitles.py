@@ -67,19 +67,24 @@ def srt_blocks(df: DataFrame, key: list[str], text: str) -> DataFrame:
     times, which may be followed by settings), ``order`` (the end before the start) and ``text`` (nothing to
     show), else null. A null or blank text has no blocks.
     """
-    each = df.select(*key, F.posexplode(_blocks(F.col(text))).alias("_no", "_b"))
-    rows = F.split("_b", "\n")
-    head = each.withColumn("_r", rows).withColumn("_time", T.strip(F.try_element_at("_r", F.lit(2))))
+    # an array of one, exploded, is worked out once; a plain column would be for each use of it
+    once = lambda c: F.explode(F.array(c))
+    each = df.select(*key, F.posexplode(_blocks(F.col(text))).alias("_no", "_b")).select(*key, "_no", once(F.split("_b", "\n")).alias("_r"))
+    time = T.strip(F.try_element_at("_r", F.lit(2)))
+    parts = once(F.struct(F.regexp_extract(time, _RANGE, 1).alias("a"), F.regexp_extract(time, _RANGE, 2).alias("z"), T.strip(F.col("_r")[0]).alias("i")))
+    times = each.select(*key, "_no", "_r", parts.alias("_p")).select(
+        *key, "_no", "_r", "_p", once(F.struct(C.stamp_ms(F.col("_p.a")).alias("start_ms"), C.stamp_ms(F.col("_p.z")).alias("end_ms"))).alias("_t")
+    )
     body = F.array_join(F.slice("_r", 3, F.greatest(F.size("_r") - 2, F.lit(0))), "\n")
-    out = head.select(
+    out = times.select(
         *key,
         (F.col("_no") + 1).alias("block_no"),
-        T.strip(F.col("_r")[0]).try_cast("bigint").alias("source_index"),
-        C.stamp_ms(F.regexp_extract("_time", _RANGE, 1)).alias("start_ms"),
-        C.stamp_ms(F.regexp_extract("_time", _RANGE, 2)).alias("end_ms"),
+        F.col("_p.i").try_cast("bigint").alias("source_index"),
+        "_t.start_ms",
+        "_t.end_ms",
         body.alias("text"),
         (F.size("_r") >= 3).alias("_long"),
-        T.strip(F.col("_r")[0]).rlike(r"^\d+\z").alias("_numbered"),
+        F.col("_p.i").rlike(r"^\d+\z").alias("_numbered"),
     )
     fault = (
         F.when(~F.col("_long") | ~F.col("_numbered"), "index")
