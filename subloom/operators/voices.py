@@ -115,34 +115,57 @@ def weighted_clusters(df: DataFrame, cluster: list[str], vector: str, weight: st
 
 
 def average_linkage(vectors: np.ndarray, threshold: float) -> np.ndarray:
-    """Cluster numbers by average linkage of cosine similarity: pairs of clusters are joined while their mean similarity reaches ``threshold``."""
+    """Cluster numbers of unit vectors by average linkage of cosine similarity: pairs of clusters are joined while their mean similarity reaches ``threshold``.
+
+    Nearest-neighbour chains: of unit vectors the mean similarity of two clusters is the product of their sums over that of their sizes, so sums
+    are kept and no matrix of pairs. A cluster whose nearest one is below the threshold is finished, as joining others brings none nearer.
+    Up to two vectors are one cluster. At equal similarities the chain's own predecessor is taken, else the first.
+    """
     n = len(vectors)
     if n <= 2:
         return np.zeros(n, int)
-    sims = vectors @ vectors.T
-    np.fill_diagonal(sims, -np.inf)
-    size = np.ones(n)
-    label = np.arange(n)
+    sums, size, first = np.array(vectors, float), np.ones(n), np.arange(n)
+    mean = sums.copy()
     alive = np.ones(n, bool)
-    while alive.sum() > 1:
-        flat = int(np.argmax(sims))
-        i, j = sorted(divmod(flat, n))
-        if sims[i, j] < threshold:
-            break
-        row = (sims[i] * size[i] + sims[j] * size[j]) / (size[i] + size[j])
-        sims[i], sims[:, i] = row, row
-        sims[i, i] = -np.inf
-        sims[j], sims[:, j] = -np.inf, -np.inf
-        size[i] += size[j]
-        alive[j] = False
-        label[label == j] = i
-    return np.unique(label, return_inverse=True)[1]
+    joined = np.arange(n)
+    chain: list[int] = []
+    start, left = 0, n
+    while left:
+        if not chain:
+            if 2 * left < len(alive):
+                sums, mean, size, first, alive, start = sums[alive], mean[alive], size[alive], first[alive], alive[alive], 0
+            start += int(np.argmax(alive[start:]))
+            chain.append(start)
+        i = chain[-1]
+        sims = mean @ mean[i]
+        sims[~alive] = -np.inf
+        sims[i] = -np.inf
+        j = int(np.argmax(sims))
+        if len(chain) > 1 and sims[chain[-2]] >= sims[j] - 1e-12:
+            j = chain[-2]
+            del chain[-2:]
+            i, j = min(i, j), max(i, j)
+            sums[i] += sums[j]
+            size[i] += size[j]
+            mean[i] = sums[i] / size[i]
+            alive[j] = False
+            left -= 1
+            joined[first[j]] = first[i]
+        elif len(chain) == 1 and (left == 1 or sims[j] < threshold):
+            alive[i] = False
+            left -= 1
+            chain.clear()
+        else:
+            chain.append(j)
+    while (up := joined[joined]).tolist() != joined.tolist():
+        joined = up
+    return np.unique(joined, return_inverse=True)[1]
 
 
 def clustered(df: DataFrame, scope: str, ident: str, vector: str, threshold: float = 0.7) -> DataFrame:
     """(scope, ident, cluster) by :func:`average_linkage` within each scope.
 
-    A scope is one episode's voices: the pairwise similarities of a scope are worked on together, so scopes must be of bounded size; that is the meaning of the operator.
+    A scope is clustered whole by one task, which holds its vectors; the time grows as the square of their number.
     """
     kinds = dict(df.dtypes)
 

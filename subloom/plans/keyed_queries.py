@@ -246,5 +246,5 @@ def q_weighted_clusters(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def q_average_linkage(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "embeddings").withColumn("scope", F.concat(F.col("label").cast("string"), F.lit(":"), F.floor(F.col("vec_id") / 100).cast("string")))
+    rows = table(spark, d, "embeddings").withColumn("scope", F.col("label").cast("string"))
     return V.clustered(rows, "scope", "vec_id", "embedding", 0.3)
