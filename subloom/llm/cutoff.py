@@ -3,7 +3,7 @@
 A bounded sample of the texts serves as intact examples; each of them is also cut at random places, with and without a mark
 at the break. Hashed closing characters, punctuation, the shape of the last lines and the distance to the source's length
 limits are the features of a logistic regression; sampled texts that a fit on the other texts takes for cut are left out of the last
-one. Limits are counted over all texts, and every text is scored.
+one. Limits are counted over all distinct texts, and every text is scored.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +27,7 @@ CUTS = 3
 DIMENSIONS = 1 << 18
 #: Marks left at a break and how often; one that also ends sound texts is put there rarely.
 MARKS = {"": 0.6, "...": 0.14, "�": 0.14, " ...": 0.02, "[...]": 0.02, "-": 0.02, "\n": 0.02, "」": 0.01, "…": 0.005, "……": 0.005}
-#: A length is taken for a limit of its source if so many texts have exactly that length, and this share of the source's texts.
+#: A length is taken for a limit of its source if so many distinct texts have exactly that length, and this share of the source's distinct texts.
 LIMIT_TEXTS, LIMIT_SHARE = 6, 0.01
 #: Limits of up to so many sources are sent to every worker.
 HELD_SOURCES = 10_000
@@ -51,13 +50,18 @@ def _slots(names: list[str]) -> list[int]:
     return [crc32(x.encode("utf-8", "surrogatepass")) & (DIMENSIONS - 1) for x in names]
 
 
-def at_limits(text: str, char_limit: int | None, byte_limit: int | None) -> list[int]:
-    """Slots of the features that tell how far a text is from its source's limits."""
+def _off(size: int, limits: list[int]) -> int:
+    """How far a size is from the nearest of the limits, between two equally near ones from the smaller; at most 4 either way."""
+    return max(-4, min(4, size - min(limits, key=lambda x: (abs(size - x), x))))
+
+
+def at_limits(text: str, char_limits: list[int] | None, byte_limits: list[int] | None) -> list[int]:
+    """Slots of the features that tell how far a text is from the nearest of its source's limits."""
     out = []
-    if char_limit:
-        out += [f"C{max(-4, min(4, len(text) - char_limit))}", f"C{len(text) == char_limit}|{text[-1:]}"]
-    if byte_limit:
-        out.append(f"B{max(-4, min(4, len(text.encode()) - byte_limit))}")
+    if char_limits:
+        out += [f"C{_off(len(text), char_limits)}", f"C{len(text) in char_limits}|{text[-1:]}"]
+    if byte_limits:
+        out.append(f"B{_off(len(text.encode()), byte_limits)}")
     return _slots(out)
 
 
@@ -86,9 +90,9 @@ def closing(text: str) -> list[int]:
     return _slots(out)
 
 
-def features(text: str, char_limit: int | None, byte_limit: int | None) -> list[int]:
+def features(text: str, char_limits: list[int] | None, byte_limits: list[int] | None) -> list[int]:
     """Slots of all features of a text; the limits are those of its source."""
-    return closing(text) + at_limits(text, char_limit, byte_limit)
+    return closing(text) + at_limits(text, char_limits, byte_limits)
 
 
 def _padded(rows: list[list[int]]) -> np.ndarray:
@@ -136,8 +140,8 @@ def cut(text: str, rng: random.Random) -> str | None:
     return left + rng.choices(list(MARKS), list(MARKS.values()))[0]
 
 
-def fit(sample: list[tuple[str, int | None, int | None]], seed: int = 7) -> tuple[np.ndarray, dict]:
-    """(weights, figures on held-out texts) from (text, char_limit, byte_limit) examples, in a fixed order."""
+def fit(sample: list[tuple[str, list[int] | None, list[int] | None]], seed: int = 7) -> tuple[np.ndarray, dict]:
+    """(weights, figures on held-out texts) from (text, char_limits, byte_limits) examples, in a fixed order."""
     rng = random.Random(seed)
     held = max(1, len(sample) // 10)
     own, artificial = [], []
@@ -150,7 +154,7 @@ def fit(sample: list[tuple[str, int | None, int | None]], seed: int = 7) -> tupl
                 continue
             # as a field limit would have cut it, or at no limit at all
             at = rng.random()
-            limited = at_limits(part, len(part) if chars and at < 0.15 else chars, len(part.encode()) if size and 0.15 <= at < 0.3 else size)
+            limited = at_limits(part, [len(part)] if chars and at < 0.15 else chars, [len(part.encode())] if size and 0.15 <= at < 0.3 else size)
             made.append((closing(part), limited))
         artificial.append(made)
     kept = np.ones(len(sample), bool)
@@ -186,12 +190,15 @@ def score(w: np.ndarray, rows: list[list[int]]) -> np.ndarray:
 
 
 def _limits(df: DataFrame) -> DataFrame:
-    """(s, chars, bytes): per source the commonest length, where it is common enough to be a limit."""
-    sizes = df.select("s", F.explode(F.array(F.struct(F.lit("c").alias("u"), F.length("t").alias("n")), F.struct(F.lit("b").alias("u"), F.octet_length("t").alias("n")))).alias("x"))
+    """(s, chars, bytes): per source the lengths that enough of its distinct texts have to be limits, in order; LIMIT_SHARE bounds their number."""
+    # copies of a text tell nothing of a limit: each text counts once for its source
+    texts = df.select("s", F.xxhash64("t").alias("h"), F.length("t").alias("c"), F.octet_length("t").alias("b")).distinct()
+    sizes = texts.select("s", F.explode(F.array(F.struct(F.lit("c").alias("u"), F.col("c").alias("n")), F.struct(F.lit("b").alias("u"), F.col("b").alias("n")))).alias("x"))
     counted = sizes.groupBy("s", "x.u", "x.n").agg(F.count("*").alias("k"))
-    top = counted.groupBy("s", "u").agg(F.max(F.struct("k", "n")).alias("top"), F.sum("k").alias("all"))
-    limit = F.when((F.col("top.k") >= LIMIT_TEXTS) & (F.col("top.k") >= LIMIT_SHARE * F.col("all")), F.col("top.n"))
-    return top.groupBy("s").agg(F.max(F.when(F.col("u") == "c", limit)).alias("chars"), F.max(F.when(F.col("u") == "b", limit)).alias("bytes"))
+    totals = counted.where("u = 'c'").groupBy("s").agg(F.sum("k").alias("all"))
+    common = counted.where(F.col("k") >= LIMIT_TEXTS).join(totals, "s").where(F.col("k") >= LIMIT_SHARE * F.col("all"))
+    each = lambda u: F.array_sort(F.collect_list(F.when(F.col("u") == u, F.col("n"))))
+    return common.groupBy("s").agg(each("c").alias("chars"), each("b").alias("bytes"))
 
 
 def scored(df: DataFrame, key: str, text: str, source: str, sample: int = SAMPLE) -> DataFrame:
@@ -213,7 +220,8 @@ def scored(df: DataFrame, key: str, text: str, source: str, sample: int = SAMPLE
     lot = F.xxhash64(F.lit(11), "k", "t")
     drawn = usable.where(lot <= min(2**63 - 1, int(-(2**63) + share * 2**64))).select("t", "chars", "bytes", lot.alias("h"))
     chosen = drawn.limit(2 * sample).toPandas().sort_values(["h", "t"], kind="stable")[:sample]
-    examples = [(t, None if pd.isna(c) else int(c), None if pd.isna(b) else int(b)) for t, c, b in zip(chosen["t"], chosen["chars"], chosen["bytes"])]
+    listed = lambda x: None if x is None else [int(n) for n in x]
+    examples = [(t, listed(c), listed(b)) for t, c, b in zip(chosen["t"], chosen["chars"], chosen["bytes"])]
     weights, _ = fit(examples)
     held = spark.sparkContext.broadcast(weights.astype(np.float32))
     kind = dict(df.dtypes)[key]
