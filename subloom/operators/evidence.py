@@ -104,40 +104,68 @@ def single_speaker(df: DataFrame, keys: list[str], pos: str, start: str, end: st
     return out.select(*keys, (F.col("s") / 2).alias("s"), (F.col("e") / 2).alias("e"), F.col("l").alias(label))
 
 
+def _outermost(found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """The (start, end, term) that lie inside no longer one, in order; ones that overlap only in part all stay."""
+    out, reach = [], -1
+    for x in sorted(found, key=lambda x: (x[0], -x[1])):
+        if x[1] > reach:
+            out.append(x)
+            reach = x[1]
+    return out
+
+
 def mentions(df: DataFrame, key: str, text: str, terms: DataFrame, term: str) -> DataFrame:
-    """(key, term): which terms stand in each text, each once; a term inside a longer one that is met at the same place doesn't count.
+    """(key, term): which terms stand in each text, each once per row; an occurrence inside that of a longer term doesn't count.
 
-    The terms are taken in blocks of HELD_TERMS and found by one automaton each, so no text meets every term by itself; a term is only
-    dropped for a longer one of its block, the blocks being made by the term's first character.
+    Occurrences that overlap only in part all count. The terms are taken in blocks of HELD_TERMS and found by one automaton each, so no text meets
+    every term by itself; with several blocks the occurrences of a text, at most one per character and block, are gathered and compared.
     """
     known = terms.select(F.col(term).alias("t")).where(F.coalesce(F.col("t"), F.lit("")) != "").distinct()
     blocks = max(1, -(-known.count() // HELD_TERMS))
     kind = dict(df.dtypes)[key]
     texts = df.select(F.col(key).alias("k"), F.col(text).alias("t")).where(F.col("t").isNotNull())
-    out = None
-    for b in range(blocks):
-        own = [r["t"] for r in known.where(F.pmod(F.xxhash64(F.substring("t", 1, 1)), F.lit(blocks)) == b).collect()]
+    spans = "array<struct<s: bigint, e: bigint, term: string>>"
+    places = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64()), ("term", pa.string())]))
+
+    def search(source: DataFrame, first: str, kind: str, block: int) -> DataFrame:
+        """(first, x) from (first, t): the outermost occurrences of the block's terms in each text that has any."""
+        own = [r["t"] for r in known.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == block).collect()]
         held = df.sparkSession.sparkContext.broadcast(own)
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             import ahocorasick
 
-            search = ahocorasick.Automaton()
+            automaton = ahocorasick.Automaton()
             for t in held.value:
-                search.add_word(t, t)
-            search.make_automaton()
+                automaton.add_word(t, t)
+            automaton.make_automaton()
             for batch in batches:
-                keys, found = [], []
-                for i, t in enumerate(batch.column(1).to_pylist()):
-                    if held.value:
-                        met = sorted({x for _, x in search.iter_long(t)})
-                        keys += [i] * len(met)
-                        found += met
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keys, pa.int64())), pa.array(found, pa.string())], names=["k", "term"])
-
-        made = texts.mapInArrow(run, f"k {kind}, term string")
-        out = made if out is None else out.unionByName(made)
-    return out.select(F.col("k").alias(key), "term")
+                met = [_outermost([(e + 1 - len(x), e + 1, x) for e, x in automaton.iter(t)]) if held.value else [] for t in batch.column(1).to_pylist()]
+                at = [i for i, m in enumerate(met) if m]
+                x = pa.array([[{"s": s, "e": e, "term": t} for s, e, t in met[i]] for i in at], places)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), x], names=[first, "x"])
+
+        return source.select(first, "t").mapInArrow(run, f"{first} {kind}, x {spans}")
+
+    if blocks == 1:
+        found = search(texts, "k", kind, 0)
+        return found.select(F.col("k").alias(key), F.explode(F.array_distinct(F.transform("x", lambda x: x["term"]))).alias("term"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            met = [sorted({t for _, _, t in _outermost([(x["s"], x["e"], x["term"]) for b in each for x in b])}) for each in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(met, pa.list_(pa.string()))], names=["h", "terms"])
+
+    marked = texts.withColumn("h", F.sha2("t", 256))
+    once = marked.select("h", "t")
+    parts = None
+    for b in range(blocks):
+        made = search(once, "h", "string", b)
+        parts = made if parts is None else parts.unionByName(made)
+    # equal texts have equal occurrences, so a block gives one list per text
+    each = parts.distinct().groupBy("h").agg(F.collect_list("x").alias("xs"))
+    final = each.mapInArrow(compare, "h string, terms array<string>")
+    return marked.select("k", "h").join(final, "h").select(F.col("k").alias(key), F.explode("terms").alias("term"))
 
 
 def digests(df: DataFrame, keys: list[str], pos: str, columns: list[str]) -> DataFrame:
