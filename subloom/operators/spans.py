@@ -89,6 +89,24 @@ def previous_and_next(points: DataFrame, intervals: DataFrame, keys: list[str])
     return points.join(made, [*keys, "p"], "left")
 
 
+def islands_at(df: DataFrame, voice: DataFrame, energy: DataFrame, keys: list[str], ident: str) -> DataFrame:
+    """(keys…, ident, voice_start, voice_end, energy_start, energy_end): the islands (keys, rs, re) of two kinds that belong to each interval (keys, ident, s, e).
+
+    Of the voice the first island that holds s + 150 ms; of the energy the last one that begins by e + 100 ms and, where there is such a voice island,
+    comes within 200 ms of it. Energy islands are disjoint, as :func:`merged` makes them.
+    """
+    rows = df.select(*keys, ident, "s", "e")
+    at = F.col("s") + 150
+    held = overlaps(rows.select(*keys, ident, at.alias("s"), at.alias("e")), voice.select(*keys, "rs", "re"), keys, inclusive=True)
+    first = held.groupBy(*keys, ident).agg(F.min(F.struct("rs", "re")).alias("_v"))
+    by = F.col("e") + 100
+    points = rows.join(first, [*keys, ident], "left").withColumn("p", F.least(by, F.col("_v.re") + 200))
+    # the latest start at or before the point, with its island's end
+    found = previous_and_next(points, energy.select(*keys, F.col("re").alias("id"), F.col("rs").alias("s"), F.col("rs").alias("e")), keys)
+    near = F.col("_v").isNull() | (F.col("prev_id") >= F.col("_v.rs") - 200)
+    return found.select(*keys, ident, F.col("_v.rs").alias("voice_start"), F.col("_v.re").alias("voice_end"), F.when(near, F.col("prev_end")).alias("energy_start"), F.when(near, F.col("prev_id")).alias("energy_end"))
+
+
 def depth(df: DataFrame, keys: list[str]) -> DataFrame:
     """(keys…, s, e, depth): the stretches between consecutive bounds of intervals (keys, s, e) and how many cover each; zero depth left out."""
     ends = df.where("e > s").select(*keys, F.explode(F.array(F.struct(F.col("s").alias("at"), F.lit(1).alias("d")), F.struct(F.col("e").alias("at"), F.lit(-1).alias("d")))).alias("x"))

@@ -176,3 +176,95 @@ def clustered(df: DataFrame, scope: str, ident: str, vector: str, threshold: flo
 
     rows = df.select(scope, ident, unit(F.col(vector)).alias("_u")).where("_u is not null")
     return rows.groupBy(scope).applyInPandas(one, f"{scope} {kinds[scope]}, {ident} {kinds[ident]}, cluster long")
+
+
+def nearest_exemplars(df: DataFrame, ids: list[str], vector: str, gallery: DataFrame, role: str, exemplar: str) -> DataFrame:
+    """(ids…, candidate, similarity, second, second_similarity, margin): as :func:`similarities`, a role's similarity being that of its nearest exemplar.
+
+    Exemplars are taken in blocks of HELD_ROLES; of each block the two best roles per row remain, and the best of a role over the blocks counts.
+    """
+    known = gallery.select(F.col(role).alias("r"), unit(F.col(exemplar)).alias("x")).where("x is not null and r is not null")
+    blocks = max(1, -(-known.count() // HELD_ROLES))
+    rows = df.select(*ids, unit(F.col(vector)).alias("_u")).where("_u is not null")
+    types, kind = dict(df.dtypes), dict(known.dtypes)["r"]
+    parts = None
+    for b in range(blocks):
+        own = known.where(F.pmod(F.xxhash64("r", "x"), F.lit(blocks)) == b).toPandas().sort_values("r", kind="stable")
+        roles, starts = np.unique(own["r"].to_numpy(), return_index=True)
+        held = df.sparkSession.sparkContext.broadcast((roles.tolist(), starts, np.array(own["x"].tolist(), float).reshape(len(own), -1)))
+
+        def run(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
+            roles, starts, matrix = held.value
+            for batch in batches:
+                for at in range(0, len(batch) if roles else 0, 500):
+                    part = batch[at : at + 500]
+                    sims = np.maximum.reduceat(np.round(np.array([np.asarray(x, float) for x in part["_u"]]) @ matrix.T, 9), starts, axis=1)
+                    for k in range(min(2, len(roles))):
+                        best = np.argsort(-sims, 1, kind="stable")[:, k]
+                        yield part[ids].assign(r=[roles[i] for i in best], s=np.take_along_axis(sims, best[:, None], 1)[:, 0])
+
+        made = rows.mapInPandas(run, ", ".join(f"{c} {types[c]}" for c in ids) + f", r {kind}, s double")
+        parts = made if parts is None else parts.unionByName(made)
+    each = parts.groupBy(*ids, "r").agg(F.max("s").alias("s"))
+    ranked = each.groupBy(*ids).agg(F.array_sort(F.collect_list(F.struct((-F.col("s")).alias("o"), "r"))).alias("x"))  # two entries per block
+    a, z = F.get("x", F.lit(0)), F.get("x", F.lit(1))
+    return ranked.select(*ids, a["r"].alias("candidate"), (-a["o"]).alias("similarity"), z["r"].alias("second"), (-z["o"]).alias("second_similarity"), (z["o"] - a["o"]).alias("margin"))
+
+
+def cluster_rows(df: DataFrame, ids: list[str], cluster: list[str], vector: str, weight: str, centres: DataFrame, role: str, gates: DataFrame, least: float = 3.0, weak: float = 0.4) -> DataFrame:
+    """(ids…, cluster…, candidate, row_candidate, row_similarity, row_margin, cluster_similarity, outlier, agreement): rows of clusters with ``least`` weight or more.
+
+    candidate: the role nearest to the cluster's weighted sum; agreement: the share of the cluster's rows that are nearest to it too. A row is an outlier if
+    it reaches the similarity and the margin that ``gates`` asks for another role, or if its similarity to the rest of the cluster is below ``weak``.
+    gates: (role, similarity_threshold, margin_threshold); a role without them isn't strongly preferred.
+    """
+    rows = df.select(*ids, *cluster, F.col(weight).cast("double").alias("_w"), unit(F.col(vector)).alias("_u")).where(F.col("_u").isNotNull() & (F.col(weight) > 0))
+    for c in cluster:
+        rows = rows.where(F.col(c).isNotNull())
+    sums = vector_sums(rows, cluster, "_u", F.col("_w")).where(F.col("w") >= least)
+    whole = similarities(sums, cluster, "total", centres, role).select(*cluster, "candidate")
+    single = similarities(rows, [*ids, *cluster], "_u", centres, role)
+    single = single.select(*ids, *cluster, F.col("candidate").alias("row_candidate"), F.col("similarity").alias("row_similarity"), F.col("margin").alias("row_margin"))
+    rest = unit(F.zip_with("total", F.zip_with("_u", F.array_repeat("_w", F.size("_u")), lambda x, w: x * w), lambda a, b: a - b))
+    near = rows.join(sums, cluster).select(*ids, *cluster, F.when(F.col("n") > 1, F.round(dot(rest, F.col("_u")), 9)).alias("cluster_similarity"))
+    asked = gates.select(F.col(role).alias("row_candidate"), "similarity_threshold", "margin_threshold")
+    each = near.join(single, [*ids, *cluster]).join(whole, cluster).join(asked, "row_candidate", "left")
+    strong = (F.col("row_candidate") != F.col("candidate")) & (F.col("row_similarity") >= F.col("similarity_threshold")) & (F.col("row_margin") >= F.col("margin_threshold"))
+    outlier = F.coalesce(strong, F.lit(False)) | F.coalesce(F.col("cluster_similarity") < weak, F.lit(False))
+    shares = each.groupBy(*cluster).agg(F.avg((F.col("row_candidate") == F.col("candidate")).cast("double")).alias("agreement"))
+    return each.withColumn("outlier", outlier).join(shares, cluster).select(*ids, *cluster, "candidate", "row_candidate", "row_similarity", "row_margin", "cluster_similarity", "outlier", "agreement")
+
+
+def settled_clusters(df: DataFrame, scope: str, ident: str, vector: str, clean: str, threshold: float = 0.7, least: float = 0.45) -> DataFrame:
+    """(scope, ident, cluster, cluster_similarity, outlier, nearest, nearest_similarity): the clean vectors of a scope in clusters, every vector with its nearest one.
+
+    cluster_similarity: that to the rest of the cluster, from three vectors on, else to its centroid; an outlier lies below ``least`` in a cluster of
+    three or more. Two clean vectors are one cluster only if their similarity reaches ``threshold``. Vectors that aren't clean belong to no cluster.
+    As in :func:`clustered` one task holds a scope.
+    """
+    kinds = dict(df.dtypes)
+    length = lambda v: v / np.maximum(np.linalg.norm(v, axis=-1, keepdims=True), 1e-12)
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(ident, kind="stable")
+        v = np.array([np.asarray(x, float) for x in pdf["_u"]])
+        at = np.flatnonzero(pdf["_ok"].to_numpy(bool))
+        made = {c: np.full(len(v), None, object) for c in ("cluster", "cluster_similarity", "outlier", "nearest", "nearest_similarity")}
+        if len(at):
+            own = v[at]
+            label = np.array([0, int(own[0] @ own[1] < threshold)]) if len(at) == 2 else average_linkage(own, threshold)
+            size = np.bincount(label)
+            sums = np.zeros((len(size), v.shape[1]))
+            np.add.at(sums, label, own)
+            rest = length(np.where(size[label][:, None] >= 3, sums[label] - own, sums[label]))
+            near = np.round((rest * own).sum(1), 9)
+            made["cluster"][at], made["cluster_similarity"][at], made["outlier"][at] = label.tolist(), near.tolist(), ((size[label] >= 3) & (near < least)).tolist()
+            centres = length(sums)
+            for k in range(0, len(v), 500):
+                sims = np.round(v[k : k + 500] @ centres.T, 9)
+                made["nearest"][k : k + 500], made["nearest_similarity"][k : k + 500] = sims.argmax(1).tolist(), sims.max(1).tolist()
+        return pdf[[scope, ident]].assign(**made)
+
+    rows = df.select(scope, ident, F.coalesce(F.col(clean), F.lit(False)).alias("_ok"), unit(F.col(vector)).alias("_u")).where("_u is not null")
+    schema = f"{scope} {kinds[scope]}, {ident} {kinds[ident]}, cluster long, cluster_similarity double, outlier boolean, nearest long, nearest_similarity double"
+    return rows.groupBy(scope).applyInPandas(one, schema)
