@@ -83,6 +83,12 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return _leaks(spark, d).where("passage > 0").select("doc_id", "item_id")
 
 
+@query
+def p8_covered(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold half of an item or more, in whatever order its parts stand."""
+    return _leaks(spark, d).where(2 * F.col("covered") >= F.col("item_signs")).select("doc_id", "item_id", "covered", "item_signs")
+
+
 @query
 def p8_leaked_items(spark: SparkSession, d: str) -> DataFrame:
     hits = _leaks(spark, d).groupBy("item_id").agg(F.count("*").alias("n_documents"), F.max(F.col("covered") / F.col("item_signs")).alias("most_covered"))
