@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from subloom.session import checkpointed
 
-#: Rows of the larger copy per bucket of keys, on average.
-ROWS_PER_BUCKET = 8
+#: Buckets of keys, unless the caller gives another number: more than most tables have keys, so that few equal keys share a bucket with an unequal one.
+BUCKETS = 1 << 32
 #: Up to so many unequal buckets are sent to every worker, so that equal rows aren't exchanged.
 HELD_BUCKETS = 500_000
 
@@ -25,24 +25,32 @@ def key_hash(keys: list[str]) -> Column:
     return F.xxhash64(*keys, *[F.col(k).isNull() for k in keys])
 
 
-def _matrix(df: DataFrame, keys: list[str], columns: list[str], buckets: int) -> DataFrame:
-    """One row per bucket of keys: for the keys and each column two additive 64-bit hashes summed over the distinct rows.
+def _matrix(sides: list[DataFrame], keys: list[str], columns: list[str], buckets: int) -> DataFrame:
+    """(_bucket, _u0, _u1, …): the unequal buckets of keys, and which cells of keys and columns are unequal in them.
 
-    Only hashes are exchanged here, one row of them per row of the table; the values stay where they are read. A
-    column's sums are equal on both sides only if the same (key, value) pairs occur as often among the distinct rows,
-    so cells with equal sums hold no difference; repeats that disagree can at most make a cell look unequal.
+    A cell is the sum of two 64-bit hashes, each in halves so that no sum overflows, over the distinct rows of the left side less that over those of
+    the right: only hashes are exchanged here, one row of them per row, equal rows within a task once. A row that both sides have adds
+    nothing to any cell, so only the others are summed. A column's sum is 0 only if the same (key, value) pairs occur as often among the distinct rows
+    of either side, so cells of 0 hold no difference; repeats that disagree can at most make a cell look unequal.
     """
     key = key_hash(keys)
     values = [F.xxhash64(F.lit(i), key, plain_text(F.col(c))).alias(f"_v{i}") for i, c in enumerate(columns)]
-    narrow = df.select(key.alias("_k"), *values).distinct()
+    narrow = [df.select(key.alias("_k"), *values, F.lit(side).alias("_side")) for side, df in enumerate(sides)]
     # the keys' own sums tell keys apart that only one side has
     cells = ["_k", *[f"_v{i}" for i in range(len(columns))]]
-    wide = lambda seed, c: F.sum(F.xxhash64(F.lit(seed), "_k", c).cast("decimal(38,0)"))
-    sums = [wide(seed, c).alias(f"_s{seed}{i}") for i, c in enumerate(cells) for seed in (1, 2)]
-    return narrow.groupBy(F.pmod("_k", F.lit(buckets)).alias("_bucket")).agg(*sums)
-
-
-def differences(left: DataFrame, right: DataFrame, keys: list[str], columns: dict[str, tuple[str, str]], names=("left", "right"), buckets: int | None = None) -> DataFrame:
+    both = narrow[0].unionByName(narrow[1]).groupBy(*cells).agg(F.max((F.col("_side") == 0).cast("int")).alias("_l"), F.max(F.col("_side")).alias("_r"))
+    lone = both.where(F.col("_l") != F.col("_r")).withColumn("_sign", F.col("_l") - F.col("_r"))
+    halves = []
+    for i, c in enumerate(cells):
+        for seed in (1, 2):
+            h = F.xxhash64(F.lit(seed), "_k", c)
+            halves += [F.sum(F.col("_sign") * part).alias(f"_s{i}{seed}{n}") for n, part in enumerate((F.shiftright(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF))))]
+    sums = lone.groupBy(F.pmod("_k", F.lit(buckets)).alias("_bucket")).agg(*halves)
+    unequal = [reduce(lambda a, b: a | b, [F.col(f"_s{i}{seed}{n}") != 0 for seed in (1, 2) for n in (0, 1)]) for i in range(len(cells))]
+    return sums.select("_bucket", *[u.alias(f"_u{i}") for i, u in enumerate(unequal)]).where(reduce(lambda a, b: a | b, [F.col(f"_u{i}") for i in range(len(cells))]))
+
+
+def differences(left: DataFrame, right: DataFrame, keys: list[str], columns: dict[str, tuple[str, str]], names=("left", "right"), buckets: int = BUCKETS) -> DataFrame:
     """Rows missing on either side and fields that differ: (keys…, difference).
 
     ``columns`` maps a field's name to its column on the left and on the right. ``difference`` is
@@ -55,19 +63,13 @@ def differences(left: DataFrame, right: DataFrame, keys: list[str], columns: dic
     cells of which the sums differ, as (column, key, value) rows in one exchange, so a hot key or bucket is
     pre-aggregated and no group is gathered.
     """
-    if buckets is None:
-        buckets = max(64, max(left.count(), right.count()) // ROWS_PER_BUCKET)
     sides = [
         (df.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], *[F.col(pair[side]).alias(f"_col{i}") for i, pair in enumerate(columns.values())]))
         for side, df in enumerate((left, right))
     ]
     keyed = [f"_key{i}" for i in range(len(keys))]
     tags = {tag: f"_col{i}" for i, tag in enumerate(columns)}
-    matrix = [_matrix(df, keyed, list(tags.values()), buckets) for df in sides]
-    both = matrix[0].unionByName(matrix[1])
-    differs = lambda i: (F.min(f"_s1{i}") != F.max(f"_s1{i}")) | (F.min(f"_s2{i}") != F.max(f"_s2{i}")) | (F.count("*") < 2)
-    unequal = both.groupBy("_bucket").agg(*[differs(i).alias(f"_u{i}") for i in range(len(tags) + 1)])
-    unequal = checkpointed(unequal.where(reduce(lambda a, b: a | b, [F.col(f"_u{i}") for i in range(len(tags) + 1)])))
+    unequal = checkpointed(_matrix(sides, keyed, list(tags.values()), buckets))
     if unequal.count() <= HELD_BUCKETS:  # else rows and unequal buckets meet by an exchange
         unequal = F.broadcast(unequal)
     located = []

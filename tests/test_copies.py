@@ -37,7 +37,7 @@ def test_against_brute_force(spark, monkeypatch):
     make = lambda n: [(rng.choice(["e1", "e2", None]), rng.choice([1, 2, 3, 4, 5, 6, 7, 8, None]), rng.choice(values), rng.choice(values), "x") for _ in range(n)]
     a = make(40)
     b = [r if rng.random() < 0.7 else make(1)[0] for r in a] + make(5) + a[:4]
-    for buckets in (1, 3, 64, None):
+    for buckets in (1, 3, 64, copies.BUCKETS):
         assert run(spark, a, b, buckets=buckets) == brute(a, b)
     monkeypatch.setattr(copies, "HELD_BUCKETS", 0)
     assert run(spark, a, b) == brute(a, b)
