@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from subloom.operators.ordered import carried, numbered
 
+#: Rows of a block of hashes, on average, when a scope is drawn from.
+ROWS_PER_BLOCK = 4096
+
 
 def first_rows(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One row per key, that with the smallest ``order``; unlike a window it combines before the exchange."""
@@ -100,7 +103,9 @@ def drawn_by_hash(df: DataFrame, scope: list[str], ids: list[str], ratio: float)
     digest = F.sha1(F.concat_ws("|", *[F.col(c).cast("string") for c in ids]))
     rows = df.withColumn("_sha", digest).withColumn("_pos", F.conv(F.substring("_sha", 1, 15), 16, 10).cast("bigint"))
     places = rows.groupBy(*scope, "_pos").agg(F.count("*").alias("_k"))
-    ranked = carried(places, scope, "_pos", F.col("_k"), "_before", "sum")
+    # the hashes fill the whole range: blocks so wide that each holds some thousand of them
+    bits = 60 - (df.count() // ROWS_PER_BLOCK).bit_length()
+    ranked = carried(places, scope, "_pos", F.col("_k"), "_before", "sum", bits)
     quota = places.groupBy(*scope).agg(F.greatest(F.lit(1), F.ceil(F.sum("_k") * ratio)).alias("_quota"))
     chosen = ranked.join(quota, scope).where(F.coalesce("_before", F.lit(0)) < F.col("_quota")).select(*scope, "_pos")
     return rows.join(chosen, [*scope, "_pos"], "left_semi").drop("_sha", "_pos")

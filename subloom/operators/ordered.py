@@ -12,54 +12,66 @@ from pyspark.sql import functions as F
 
 from subloom.session import checkpointed
 
-#: Bits of a position below each level of blocks; above the last one at most 2**20 blocks remain.
-LEVELS = (20, 32, 44)
-#: Up to so many blocks of all keys together, those of a key are taken in one step.
+#: Bits of a position within a block, unless the caller gives others, and bits by which each further level of blocks is wider.
+BITS, STEP = 20, 12
+#: Up to so many blocks of all keys together, those of a key are taken in one step and sent to every worker.
 FEW_BLOCKS = 100_000
 #: Rows of a block of numbered rows.
 BLOCK = 4096
 
 
-def carried(df: DataFrame, keys: list[str], pos: str, val: Column, out: str, how: str = "max") -> DataFrame:
+def carried(df: DataFrame, keys: list[str], pos: str, val: Column, out: str, how: str = "max", bits: int = BITS) -> DataFrame:
     """Add ``out``: the max, min or sum of ``val`` over the rows of the same ``keys`` with a smaller ``pos``.
 
     ``pos`` is a BIGINT or INT that occurs once per key; ``val`` may be null (ignored) or a struct (max, min).
-    ``out`` is null where no smaller position has a value. Null keys are a key like any other only if they are
-    replaced before: rows with a null key or position are left out. The blocks' values, one row each, are written once.
+    ``out`` is null where no smaller position has a value. A null key is a key like any other; rows without a position have no place in
+    the order and are left out. ``bits``: the width of a block. The blocks' values, one row each, are written once.
     """
-    fold = {"max": F.max, "min": F.min, "sum": F.sum}[how]
+    base = df.where(F.col(pos).isNotNull()).withColumn("_val", val).withColumn("_b", F.shiftright(F.col(pos).cast("bigint"), bits))
+    fold, join = _folds(how)
+    w = Window.partitionBy(*keys, "_b").orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
+    rows = with_carry(base.withColumn("_in", fold("_val").over(w)), carry_over(base.groupBy(*keys, "_b").agg(fold("_val").alias("_m")), keys, how), keys)
+    return rows.withColumn(out, join("_in", "_carry")).drop("_val", "_in", "_carry", "_b")
+
+
+def _folds(how: str):
+    """(the aggregate, how two of its results are put together)."""
     if how == "sum":
-        join = lambda a, b: F.when(F.col(a).isNull() & F.col(b).isNull(), None).otherwise(F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
-    else:
-        sign = {"max": lambda a, b: a > b, "min": lambda a, b: a < b}[how]
-        join = lambda a, b: F.when(F.col(b).isNull() | sign(F.col(a), F.col(b)), F.col(a)).otherwise(F.col(b))
-    names = [f"_b{bits}" for bits in LEVELS]
-    base = df.withColumn("_val", val).withColumn(names[0], F.shiftright(F.col(pos).cast("bigint"), LEVELS[0]))
-    blocks = checkpointed(base.groupBy(*keys, names[0]).agg(fold("_val").alias("_m")))
+        return F.sum, lambda a, b: F.when(F.col(a).isNull() & F.col(b).isNull(), None).otherwise(F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
+    sign = {"max": lambda a, b: a > b, "min": lambda a, b: a < b}[how]
+    return {"max": F.max, "min": F.min}[how], lambda a, b: F.when(F.col(b).isNull() | sign(F.col(a), F.col(b)), F.col(a)).otherwise(F.col(b))
+
+
+def carry_over(blocks: DataFrame, keys: list[str], how: str = "max") -> DataFrame:
+    """(keys…, _b, _carry) from (keys…, _b, _m), one row per block: the fold of all blocks of the key before each one."""
+    fold, join = _folds(how)
+    blocks = checkpointed(blocks)
     before = (Window.unboundedPreceding, -1)
     if blocks.count() <= FEW_BLOCKS:
-        line = Window.partitionBy(*keys).orderBy(names[0]).rowsBetween(*before)
-        carry = blocks.select(*keys, names[0], fold("_m").over(line).alias("_carry"))
-    else:
-        carry = _tree(blocks, keys, names, fold, join, before)
-    w = Window.partitionBy(*keys, names[0]).orderBy(pos).rowsBetween(*before)
-    rows = base.withColumn("_in", fold("_val").over(w)).join(carry, [*keys, names[0]])
-    return rows.withColumn(out, join("_in", "_carry")).drop("_val", "_in", "_carry", names[0])
-
-
-def _tree(blocks: DataFrame, keys: list[str], names: list[str], fold, join, before) -> DataFrame:
-    """What each block takes over, level by level, so that no key's blocks come together."""
-    sums = [blocks]
-    for low, high, bits in zip(names, names[1:], (b - a for a, b in zip(LEVELS, LEVELS[1:]))):
-        sums[-1] = sums[-1].withColumn(high, F.shiftright(low, bits))
-        sums.append(sums[-1].groupBy(*keys, high).agg(fold("_m").alias("_m")))
-    top = Window.partitionBy(*keys).orderBy(names[-1]).rowsBetween(*before)
-    carry = sums[-1].select(*keys, names[-1], fold("_m").over(top).alias("_carry"))
-    for level in range(len(names) - 2, -1, -1):
-        w = Window.partitionBy(*keys, names[level + 1]).orderBy(names[level]).rowsBetween(*before)
+        line = Window.partitionBy(*keys).orderBy("_b").rowsBetween(*before)
+        return F.broadcast(blocks.select(*keys, "_b", fold("_m").over(line).alias("_carry")))
+    # level by level, so that no key's blocks come together
+    sums = [blocks.withColumnRenamed("_b", "_b0")]
+    for level in (1, 2):
+        sums[-1] = sums[-1].withColumn(f"_b{level}", F.shiftright(f"_b{level - 1}", STEP))
+        sums.append(sums[-1].groupBy(*keys, f"_b{level}").agg(fold("_m").alias("_m")))
+    top = Window.partitionBy(*keys).orderBy("_b2").rowsBetween(*before)
+    carry = sums[2].select(*keys, "_b2", fold("_m").over(top).alias("_carry"))
+    for level in (1, 0):
+        w = Window.partitionBy(*keys, f"_b{level + 1}").orderBy(f"_b{level}").rowsBetween(*before)
         inner = sums[level].withColumn("_in", fold("_m").over(w))
-        carry = inner.join(carry, [*keys, names[level + 1]]).select(*keys, names[level], join("_in", "_carry").alias("_carry"))
-    return carry
+        carry = with_carry(inner, carry, keys, f"_b{level + 1}").select(*keys, f"_b{level}", join("_in", "_carry").alias("_carry"))
+    return carry.withColumnRenamed("_b0", "_b")
+
+
+def with_carry(rows: DataFrame, carry: DataFrame, keys: list[str], block: str = "_b") -> DataFrame:
+    """Add ``_carry`` of the row's key and block; null keys meet."""
+    names = [*keys, block]
+    other = carry.withColumnsRenamed({n: f"_o{i}" for i, n in enumerate(names)})
+    met = F.lit(True)
+    for i, n in enumerate(names):
+        met = met & rows[n].eqNullSafe(other[f"_o{i}"])
+    return rows.join(other, met).drop(*[f"_o{i}" for i in range(len(names))])
 
 
 def previous(df: DataFrame, keys: list[str], pos: str, columns: list[str], out: str = "prev") -> DataFrame:

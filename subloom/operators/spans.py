@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from subloom.operators.islands import stretches
 from subloom.operators.ordered import carried, previous
 
 #: Width of a cell of the time line in milliseconds.
@@ -47,11 +48,7 @@ def dominant(pairs: DataFrame, ids: list[str], speaker: str, share: float = 0.7)
 
 def merged(df: DataFrame, keys: list[str], bridge: int = 0, least: int = 0) -> DataFrame:
     """(keys…, s, e): intervals (keys, s, e) merged where they overlap, touch or leave at most ``bridge``; shorter than ``least`` dropped."""
-    rows = df.where("e > s").groupBy(*keys, "s").agg(F.max("e").alias("e"))
-    rows = carried(rows, keys, "s", F.col("e"), "_reach").withColumn("_open", F.col("_reach").isNull() | (F.col("s") > F.col("_reach") + bridge))
-    rows = carried(rows, keys, "s", F.when(F.col("_open"), F.col("s")), "_before")
-    rows = rows.withColumn("_i", F.when(F.col("_open"), F.col("s")).otherwise(F.col("_before")))
-    return rows.groupBy(*keys, "_i").agg(F.max("e").alias("e")).select(*keys, F.col("_i").alias("s"), "e").where(F.col("e") - F.col("s") >= least)
+    return stretches(df.where("e > s"), keys, bridge).where(F.col("e") - F.col("s") >= least).select(*keys, "s", "e")
 
 
 def subtracted(regions: DataFrame, covers: DataFrame, keys: list[str], region: str, cell: int = CELL) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 
 from subloom.operators import ordered, spans
 from subloom.operators.islands import periods_and_gaps
-from subloom.operators.ordered import LEVELS, carried, numbered, previous, with_neighbours
+from subloom.operators.ordered import BITS, STEP, carried, numbered, previous, with_neighbours
 
 S = "episode string, start bigint, end bigint, kind string"
 
@@ -28,11 +28,11 @@ def brute(rows, max_gap=None):
 def test_periods_against_brute_force_over_block_bounds(spark, rows, monkeypatch, few):
     monkeypatch.setattr(ordered, "FEW_BLOCKS", few)
     rng = random.Random(1)
-    width = 1 << LEVELS[0]
+    width = 1 << BITS
     data = []
     for _ in range(400):
         ep = rng.choice(["a", "a", "a", "b", None])
-        s = rng.choice([rng.randrange(0, 40), rng.randrange(-5 * width, 5 * width), (1 << LEVELS[1]) * rng.randrange(0, 3) + rng.randrange(50)])
+        s = rng.choice([rng.randrange(0, 40), rng.randrange(-5 * width, 5 * width), (1 << (BITS + STEP)) * rng.randrange(0, 3) + rng.randrange(50)])
         data.append((ep, s, rng.choice([None, s, s - 3, s + rng.randrange(1, 30), s + rng.randrange(1, 3 * width)]), "x"))
     data += data[:50]
     got = rows(periods_and_gaps(spark.createDataFrame(data, S)), "episode", "kind", "start_ms", "end_ms")
@@ -61,6 +61,29 @@ def test_running_values_and_neighbours(spark, rows, monkeypatch, few):
     assert [around[p] for p in pos] == [[0, 1], [0, 1, 2], [1, 2, 3], [2, 3, 4], [3, 4, 5], [4, 5, 6], [5, 6]]
 
 
+def test_null_keys_are_a_key_and_rows_without_a_position_are_left_out(spark):
+    df = spark.createDataFrame([(None, 1, 5), (None, 1 << 21, 6), ("k", 3, 7), ("k", None, 8)], "k string, p bigint, v bigint")
+    got = {(r["k"], r["p"]): r["s"] for r in carried(df, ["k"], "p", df["v"], "s").collect()}
+    assert got == {(None, 1): None, (None, 1 << 21): 5, ("k", 3): None}
+
+
+def test_bridged_stretches_against_brute_force(spark, rows):
+    rng = random.Random(3)
+    width = 1 << BITS
+    data = [(rng.choice("ab"), s := rng.randrange(0, 4 * width), s + rng.randrange(1, width // 2)) for _ in range(60)]
+    for bridge in (0, width // 20):
+        want = []
+        for k in "ab":
+            merged = []
+            for s, e in sorted(x[1:] for x in data if x[0] == k):
+                if merged and s <= merged[-1][1] + bridge:
+                    merged[-1][1] = max(merged[-1][1], e)
+                else:
+                    merged.append([s, e])
+            want += [(k, s, e) for s, e in merged]
+        assert rows(spans.merged(spark.createDataFrame(data, "k string, s bigint, e bigint"), ["k"], bridge)) == sorted(want, key=repr)
+
+
 def test_neighbours_across_blocks(spark, monkeypatch):
     monkeypatch.setattr(ordered, "BLOCK", 3)
     df = spark.createDataFrame([("k", p) for p in range(20)], "k string, p bigint")
