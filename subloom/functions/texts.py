@@ -145,3 +145,5 @@ def _normal(form: str, fold: bool, blanks: str) -> Column:
 compact = _normal("NFKC", False, "none")
 name_form = _normal("NFKC", False, "single")
 evidence_form = _normal("NFKC", True, "none")
+folded_form = _normal("NFKC", True, "ends")
+composed_form = _normal("NFC", False, "ends")

@@ -37,7 +37,7 @@ PROTECTED = (
     ("なけ", ("れば",)),
     ("なく", ("なる",)),
 )
-#: Particles that shouldn't open a line, and what may follow them.
+#: Particles that shouldn't open a line, and what may follow them. Not as patterns that look ahead: the SQL that must give the same rows has none.
 PARTICLES = (
     ("は", ("るか", "ず", "い", "じめ", "っ", "め", "な", "や", "ら", "ん")),
     ("も", ("う", "っと", "し", "の", "ら", "て", "った")),

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from subloom.operators.ordered import carried
+
 #: Roles whose centroids are held by every worker at once; more are taken in blocks.
 HELD_ROLES = 10_000
 
@@ -94,17 +96,68 @@ def left_out(df: DataFrame, ids: list[str], role: str, vector: str) -> DataFrame
     return own.join(other, [*ids, role]).withColumn("margin", F.col("own") - F.col("impostor"))
 
 
-def thresholds(margins: DataFrame, role: str) -> DataFrame:
+def exact_percentiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]], digits: int = 9) -> DataFrame:
+    """(keys…, name…, n_name…): for each name the percentile (column, share) of the non-null values of a key, linear between neighbours; null without values.
+
+    Values are taken to ``digits`` decimal places, within 10**(18 - digits). Equal ones are counted first, the counts are carried along the line of values, and only the two values on
+    either side of the place sought are kept: no key's values come together.
+    """
+    columns = list(dict.fromkeys(c for c, _ in wanted.values()))
+    parts = []
+    for c in columns:
+        place = F.round(F.col(c) * 10**digits).cast("bigint")
+        counts = df.where(F.col(c).isNotNull()).groupBy(*keys, place.alias("_x")).agg(F.count("*").alias("_k"))
+        bits = max(20, digits * 3)  # a value of 1 spans a handful of blocks
+        line = carried(counts, keys, "_x", F.col("_k"), "_before", "sum", bits).withColumn("_before", F.coalesce("_before", F.lit(0)))
+        totals = counts.groupBy(*keys).agg(F.sum("_k").alias("_n"))
+        line = with_keys(line, totals, keys)
+        for name, (own, share) in wanted.items():
+            if own != c:
+                continue
+            at = (F.col("_n") - 1) * F.lit(share)
+            lo, hi = F.floor(at), F.ceil(at)
+            holds = lambda k: (F.col("_before") <= k) & (k < F.col("_before") + F.col("_k"))
+            low, high = F.max(F.when(holds(lo), F.col("_x"))), F.max(F.when(holds(hi), F.col("_x")))
+            value = (low + (high - low) * (F.max(at) - F.max(lo))) / F.lit(float(10**digits))
+            parts.append(line.groupBy(*keys).agg(value.alias("_v")).select(*keys, F.lit(name).alias("_name"), "_v"))
+    every = parts[0]
+    for x in parts[1:]:
+        every = every.unionByName(x)
+    return every.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in wanted])
+
+
+def with_keys(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """An inner join in which null keys meet."""
+    renamed = other.withColumnsRenamed({k: f"_o{i}" for i, k in enumerate(keys)})
+    met = F.lit(True)
+    for i, k in enumerate(keys):
+        met = met & rows[k].eqNullSafe(renamed[f"_o{i}"])
+    return rows.join(renamed, met).drop(*[f"_o{i}" for i in range(len(keys))])
+
+
+def thresholds(margins: DataFrame, role: str, fallback: tuple[float, float] = (0.0, 0.08)) -> DataFrame:
     """(role, clips, similarity_threshold, margin_threshold, confusable) from :func:`left_out`.
 
     The similarity asked for is the 95th percentile of impostors plus 0.03, or the 10th of genuine ones if that is higher; the margin
-    the 10th percentile of margins within 0.08 and 0.25. A role is confusable if its genuine 10th percentile doesn't reach that of impostors plus 0.03.
+    the 10th percentile of margins within 0.08 and 0.25; ``fallback`` where a role has no values for one of them. A role is confusable if its genuine 10th
+    percentile doesn't reach that of impostors plus 0.03.
     """
-    rows = margins.where("own is not null").groupBy(role).agg(
-        F.count("*").alias("clips"), F.percentile("own", F.lit(0.1)).alias("g"), F.percentile("impostor", F.lit(0.95)).alias("i"), F.percentile("margin", F.lit(0.1)).alias("m")
-    )
+    rows = margins.where("own is not null")
+    found = exact_percentiles(rows, [role], {"g": ("own", 0.1), "i": ("impostor", 0.95), "m": ("margin", 0.1)})
+    found = with_keys(rows.groupBy(role).agg(F.count("*").alias("clips")), found, [role])
     floor = F.col("i") + 0.03
-    return rows.select(role, "clips", F.greatest("g", floor).alias("similarity_threshold"), F.least(F.greatest("m", F.lit(0.08)), F.lit(0.25)).alias("margin_threshold"), (F.col("g") < floor).alias("confusable"))
+    least = F.coalesce(F.greatest("g", floor), F.lit(fallback[0]))
+    margin = F.least(F.greatest(F.coalesce("m", F.lit(fallback[1])), F.lit(0.08)), F.lit(0.25))
+    return found.select(role, "clips", least.alias("similarity_threshold"), margin.alias("margin_threshold"), F.coalesce(F.col("g") < floor, F.lit(False)).alias("confusable"))
+
+
+def kept_clips(margins: DataFrame, role: str, least_own: float = 0.3, least_margin: float = 0.08) -> DataFrame:
+    """The rows of :func:`left_out` and ``kept``: a clip of a role of several drops out if it is too unlike the role's others or too little more like them than like another role.
+
+    A clip that stands alone for its role, or that no other role is there to be compared with, stays.
+    """
+    weak = (F.col("own") < least_own) | F.coalesce(F.col("margin") < least_margin, F.lit(False))
+    return margins.withColumn("kept", F.col("own").isNull() | ~weak)
 
 
 def weighted_clusters(df: DataFrame, cluster: list[str], vector: str, weight: str, least: float) -> DataFrame:
@@ -262,7 +315,8 @@ def settled_clusters(df: DataFrame, scope: str, ident: str, vector: str, clean:
             centres = length(sums)
             for k in range(0, len(v), 500):
                 sims = np.round(v[k : k + 500] @ centres.T, 9)
-                made["nearest"][k : k + 500], made["nearest_similarity"][k : k + 500] = sims.argmax(1).tolist(), sims.max(1).tolist()
+                # of equally near clusters the larger number
+                made["nearest"][k : k + 500], made["nearest_similarity"][k : k + 500] = (sims.shape[1] - 1 - sims[:, ::-1].argmax(1)).tolist(), sims.max(1).tolist()
         return pdf[[scope, ident]].assign(**made)
 
     rows = df.select(scope, ident, F.coalesce(F.col(clean), F.lit(False)).alias("_ok"), unit(F.col(vector)).alias("_u")).where("_u is not null")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subloom.operators import evidence as E
-from subloom.operators.roles import crossed
+from subloom.operators import roles as R
+from subloom.operators.voices import exact_percentiles
 from subloom.plans.cue_queries import CUES, TURNS, cues, timed, turns
 from subloom.plans.registry import query
 from subloom.session import table
@@ -83,6 +84,25 @@ def q_role_mentions(spark: SparkSession, d: str) -> DataFrame:
     return E.mentions(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "role_catalog"), "role")
 
 
+def _edges(spark: SparkSession, d: str) -> DataFrame:
+    return R.relations(table(spark, d, "documents"), "title_code", "text", R.aliases(table(spark, d, "role_catalog"), "role"))
+
+
+@query()
+def q_relations(spark: SparkSession, d: str) -> DataFrame:
+    return _edges(spark, d)
+
+
+@query()
+def q_relation_report(spark: SparkSession, d: str) -> DataFrame:
+    return R.relation_report(_edges(spark, d))
+
+
+@query()
+def q_addressed(spark: SparkSession, d: str) -> DataFrame:
+    return R.addressed(table(spark, d, "cue_labels"), ["cue_id"], "text", _edges(spark, d), table(spark, d, "role_catalog").select("role"))
+
+
 @query()
 def q_episode_digests(spark: SparkSession, d: str) -> DataFrame:
     return E.digests(cues(spark, d), ["episode"], "source_index", ["role", "text", "start", "end"])
@@ -124,7 +144,7 @@ WITH m AS (SELECT event_type, quantile_cont(value, 0.5) AS m FROM events GROUP B
 """)
 def q_median_outliers(spark: SparkSession, d: str) -> DataFrame:
     events = table(spark, d, "events").select("event_id", "event_type", "value")
-    middle = events.groupBy("event_type").agg(F.percentile("value", F.lit(0.5)).alias("m"))
+    middle = exact_percentiles(events, ["event_type"], {"m": ("value", 0.5)})
     return events.join(middle, "event_type").where(F.abs(F.col("value") - F.col("m")) > 40).select("event_id", "event_type", F.round(F.col("value") - F.col("m"), 6).alias("off"))
 
 
@@ -135,4 +155,4 @@ def q_median_outliers(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_models_by_row(spark: SparkSession, d: str) -> DataFrame:
     keys = F.map_keys(F.from_json("model_candidates_json", "map<string, string>"))
-    return crossed(table(spark, d, "voice_ensemble").select("ens_id", F.explode(keys).alias("k")), "ens_id", "k", MODELS)
+    return R.crossed(table(spark, d, "voice_ensemble").select("ens_id", F.explode(keys).alias("k")), "ens_id", "k", MODELS)
