@@ -1,11 +1,11 @@
 """Documents mixed by source to target shares of all tokens, dealt out to shards.
 
-The number of uses of each source follows from exact token quotas: every document is used a whole number of times, and a
-random part of the source, up to the rest of the quota, once more. The used blocks of each source are dealt out to the shards by
-a splitting tree: at each node the blocks of all sources together are halved, and how many of each source go left is
-drawn from the multivariate hypergeometric distribution, so the numbers of every level are exact. Each shard then
-takes disjoint runs of the permuted blocks and shuffles its documents by itself. The driver holds only numbers of blocks, which
-the parameters bound.
+Each source is cut at random into blocks. From exact token quotas follows how many of a source's blocks are used: all of them a whole number of
+times, then some once more, drawn at random, the last one only up to the document where the quota ends. The used blocks of all sources are dealt
+out to the shards by a splitting tree: at each node they are halved together, and how many of each source go left is drawn
+from the multivariate hypergeometric distribution, so the numbers of every level are exact. Each shard then takes disjoint runs of
+the permuted blocks and shuffles their documents by itself. Chosen documents, shares and shards all come from the blocks so dealt. The driver holds
+numbers of blocks, which grow with the shards, never documents.
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subloom.session import checkpointed, require_columns
@@ -25,18 +26,21 @@ from subloom.session import checkpointed, require_columns
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: the pattern of pieces that goes with the vocabulary.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Parts of a source's random order that are summed at once when the end of its quota is sought (in two steps), and most blocks of a source.
-PARTS, BLOCKS = 1024, 1024
 #: Places in a source's random order.
 PLACES = 2**63
+#: Tokens of a shard, unless their number is given; fewest blocks of a source of many documents, and blocks for each shard.
+SHARD_TOKENS, LEAST_SHARDS, LEAST_BLOCKS, BLOCKS_PER_SHARD = 2**28, 16, 1024, 4
+#: Up to so many dealt blocks are sent to every worker; beyond, documents and blocks meet by an exchange.
+HELD_BLOCKS = 1_000_000
+#: Sizes of texts that a task remembers, so that copies are encoded once.
+REMEMBERED = 100_000
 
 
 @lru_cache(maxsize=2)
-def _encoding(path: str):
+def _encoding(lines: bytes):
     import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+    ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines.splitlines() if line.strip())}
     return tiktoken.Encoding("own", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
 
 
@@ -45,11 +49,23 @@ def token_sizes(df: DataFrame, text: str, keep: list[str], vocabulary: str = VOC
     rows = df.where(F.col(text).isNotNull()).select(*keep, F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"), F.col(text).alias("_text"))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
 
+    with open(vocabulary, "rb") as f:
+        held = df.sparkSession.sparkContext.broadcast(f.read())  # the file of a vocabulary, read where the query is made
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(vocabulary).encode_ordinary
+        encode = _encoding(held.value).encode_ordinary
+        known: dict[tuple[int, int], int] = {}
         for batch in batches:
-            sizes = pa.array([len(encode(t)) for t in batch.column(batch.num_columns - 1).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], sizes], names=[*batch.schema.names[:-1], "n_tokens"])
+            n = batch.num_columns
+            sizes = []
+            for a, b, t in zip(*(batch.column(i).to_pylist() for i in (n - 3, n - 2, n - 1))):
+                size = known.get((a, b))
+                if size is None:
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    size = known[a, b] = len(encode(t))
+                sizes.append(size)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sizes, pa.int64())], names=[*batch.schema.names[:-1], "n_tokens"])
 
     return rows.mapInArrow(run, ddl + ", n_tokens bigint")
 
@@ -69,54 +85,40 @@ def split_blocks(blocks: dict[str, int], shards: int, rng: np.random.Generator)
     return [dict(zip(names, map(int, c))) for c in halve(np.array([blocks[s] for s in names], np.int64), shards)]
 
 
-def _ends(docs: DataFrame, rests: dict[str, float]) -> dict[str, int]:
-    """For each source the place in its random order up to which documents are used once more.
+def _block(blocks) -> Column:
+    """The block of a document's place in its source's random order."""
+    return F.least(F.floor(F.col("_u") / F.lit(float(PLACES)) * blocks), blocks - 1).cast("int")
+
+
+def _cuts(docs: DataFrame, rests: list[tuple[str, int, float]]) -> dict[str, int]:
+    """For each source the place up to which documents of the named block are used, so that their tokens come nearest to the rest; -1 for none.
 
-    The order is cut into PARTS, whose tokens are summed, then the part in which the quota ends once again; only the documents of
-    that part of a part, about a millionth of the source, are put in order.
+    One block of each source is put in order, which has a small share of a shard's tokens.
     """
-    spark = docs.sparkSession
-    width = PLACES // PARTS
-    level = [(s, 0, float(r)) for s, r in rests.items() if r > 0]
-    for _ in range(2):
-        if not level:
-            return {}
-        begin = spark.createDataFrame([(s, b) for s, b, _ in level], "source string, _b bigint")
-        inside = docs.join(F.broadcast(begin), "source").where(F.col("_u") >= F.col("_b"))  # as many rows as targets
-        part = F.expr(f"(_u - _b) div {width}")
-        sums = inside.withColumn("_part", part).where(F.col("_part") < PARTS).groupBy("source", "_part").agg(F.sum("n_tokens").alias("n")).toPandas()
-        after = []
-        for s, b, rest in level:
-            own = sums[sums["source"] == s].sort_values("_part")
-            done = np.concatenate([[0], own["n"].cumsum().to_numpy()])
-            k = int(np.searchsorted(done[1:], rest, "right"))
-            if k < len(own):
-                after.append((s, b + int(own["_part"].iloc[k]) * width, rest - float(done[k])))
-            else:
-                after.append((s, b + (PARTS - 1) * width, rest - float(done[-1])))
-        level, width = after, width // PARTS
-    begin = spark.createDataFrame(level, "source string, _b bigint, _rest double")
-    last = docs.join(F.broadcast(begin), "source").where((F.col("_u") >= F.col("_b")) & (F.col("_u") - F.col("_b") < width * PARTS))
-    w = Window.partitionBy("source").orderBy("_u").rowsBetween(Window.unboundedPreceding, 0)
+    if not rests:
+        return {}
+    wanted = docs.sparkSession.createDataFrame(rests, "source string, _block int, _rest double")
+    last = docs.join(F.broadcast(wanted), ["source", "_block"])  # as many rows as targets
+    w = Window.partitionBy("source").orderBy("_u", "_id").rowsBetween(Window.unboundedPreceding, 0)
     taken = last.withColumn("_sum", F.sum("n_tokens").over(w)).where(F.col("_sum") - F.col("n_tokens") / 2 <= F.col("_rest"))
     ends = {r["source"]: r["u"] for r in taken.groupBy("source").agg(F.max("_u").alias("u")).collect()}
-    return {s: ends.get(s, b - 1) for s, b, _ in level}
+    return {s: ends.get(s, -1) for s, _, _ in rests}
 
 
 class Mix:
-    """The chosen documents and the actual shares; see :func:`mix`."""
+    """The chosen documents, their uses by shard and the actual shares; see :func:`mix`."""
 
-    def __init__(self, documents: DataFrame, copies: DataFrame, shares: DataFrame):
-        self.documents, self.copies, self.shares = documents, copies, shares
+    def __init__(self, documents: DataFrame, copies: DataFrame, shares: DataFrame, shards: int):
+        self.documents, self.copies, self.shares, self.shards = documents, copies, shares, shards
 
 
-def mix(docs: DataFrame, doc_id: str, text: str, source: str, targets: DataFrame, total_tokens: int | None = None, shards: int = 16, seed: int = 1, vocabulary: str = VOCABULARY) -> Mix:
+def mix(docs: DataFrame, doc_id: str, text: str, source: str, targets: DataFrame, total_tokens: int | None = None, shards: int | None = None, seed: int = 1, vocabulary: str = VOCABULARY) -> Mix:
     """Documents by source in the target shares of ``total_tokens`` tokens, none used more than its source's max_repeats times.
 
     ``targets``: (source, target_share, max_repeats). Without ``total_tokens`` the mix is the largest that the repeats allow; more than that is an error.
     A document that stands in the table several times, under whatever id, is one document: the smallest id stands for
     it. Null or tokenless texts and sources without a target aren't used; a target without documents gets no tokens, and the other shares keep
-    their proportions. Each source ends within half a document of its quota.
+    their proportions. Each source ends within half a document of its quota. Without ``shards`` their number follows from the tokens, SHARD_TOKENS each.
 
     documents: (doc_id, source, n_tokens, repeats). copies: (shard, place, doc_id, source, copy, n_tokens), one row per
     use, in random order within a shard by ``place``. shares: (source, target_share, actual_share, tokens, available_tokens, documents, uses, max_repeats).
@@ -142,33 +144,52 @@ def mix(docs: DataFrame, doc_id: str, text: str, source: str, targets: DataFrame
     quota = {s: total * share / whole for s, (share, _) in active.items()}
     full = {s: min(int(quota[s] / have[s][0] + 1e-9), active[s][1]) for s in active}
     rest = {s: quota[s] - full[s] * have[s][0] if full[s] < active[s][1] else 0.0 for s in active}
-    ends = _ends(known, rest)
-    blocks = {s: int(min(BLOCKS, max(1, have[s][1] // 8))) for s in active}
-    plan = spark.createDataFrame([(s, full[s], ends.get(s, -1), s in ends, blocks[s]) for s in active] or [("", 0, 0, False, 1)], "source string, _full int, _end bigint, _more boolean, _blocks int")
-    used = known.join(F.broadcast(plan), "source")
-    repeats = F.col("_full") + F.when(F.col("_more") & (F.col("_u") <= F.col("_end")), 1).otherwise(0)
-    # the block of a document: its place in the random order, so that the blocks of the last use end where the quota does
-    block = F.least(F.floor(F.col("_u") / F.lit(float(PLACES)) * F.col("_blocks")), F.col("_blocks") - 1).cast("int")
-    used = used.withColumn("repeats", repeats.cast("int")).where("repeats > 0").withColumn("_block", block)
-    documents = used.select(F.col("_id").alias(doc_id), "source", "n_tokens", "repeats")
+    shards = shards or max(LEAST_SHARDS, -(-int(total) // SHARD_TOKENS))
+    fewest = {s: max(LEAST_BLOCKS, BLOCKS_PER_SHARD * shards, BLOCKS_PER_SHARD * have[s][0] // SHARD_TOKENS) for s in active}
+    blocks = {s: int(min(fewest[s], max(1, have[s][1] // 8))) for s in active}
+    sizes = spark.createDataFrame([(s, b) for s, b in blocks.items()] or [("", 1)], "source string, _blocks int")
+    cut_up = known.join(F.broadcast(sizes), "source").withColumn("_block", _block(F.col("_blocks"))).drop("_blocks")  # as many rows as targets
+    sums = cut_up.groupBy("source", "_block").agg(F.sum("n_tokens").alias("n")).toPandas()
 
     rng = np.random.default_rng(seed)
+    once_more, ends_in = {}, []
+    for s in active:
+        own = sums[sums["source"] == s]
+        tokens = np.zeros(blocks[s], np.int64)
+        tokens[own["_block"].to_numpy()] = own["n"].to_numpy()
+        order = rng.permutation(blocks[s])
+        done = np.cumsum(tokens[order])
+        k = int(np.searchsorted(done, rest[s], "right")) if rest[s] > 0 else 0
+        once_more[s] = order[:k]
+        if rest[s] > 0 and k < len(order):
+            ends_in.append((s, int(order[k]), float(rest[s] - (done[k - 1] if k else 0))))
+    ends = _cuts(cut_up, ends_in)
+    parts = {s: (b, ends[s]) for s, b, _ in ends_in if ends[s] >= 0}
     units = {}
     for s in active:
-        upto = int(min(ends[s] / float(PLACES) * blocks[s], blocks[s] - 1)) + 1 if ends.get(s, -1) >= 0 else 0
-        units[s] = [(b, c) for c in range(full[s]) for b in range(blocks[s])] + [(b, full[s]) for b in range(upto)]
-    dealt = split_blocks({s: len(u) for s, u in units.items()}, shards, rng)
-    places = []
-    for s, own in units.items():
-        order = rng.permutation(len(own))
-        at = 0
-        for shard, counts in enumerate(dealt):
-            for k in order[at : at + counts[s]]:
-                places.append((s, own[k][0], own[k][1], shard))
-            at += counts[s]
-    table = spark.createDataFrame(places or [("", 0, 0, 0)], "source string, _block int, copy int, shard int")  # at most targets x BLOCKS x repeats rows
-    each = used.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("repeats") - 1)))
-    copies = each.join(F.broadcast(table), ["source", "_block", "copy"]).select(
+        each = [(np.arange(blocks[s]), c) for c in range(full[s])] + [(once_more[s], full[s])]
+        if s in parts:
+            each.append((np.array([parts[s][0]]), full[s]))
+        block = np.concatenate([b for b, _ in each])
+        copy = np.concatenate([np.full(len(b), c) for b, c in each])
+        upto = np.full(len(block), PLACES - 1, np.int64)
+        if s in parts:
+            upto[-1] = parts[s][1]
+        at = rng.permutation(len(block))
+        units[s] = (block[at], copy[at], upto[at])
+    dealt = split_blocks({s: len(u[0]) for s, u in units.items()}, shards, rng)
+    frames = [
+        pd.DataFrame({"source": s, "_block": u[0].astype(np.int32), "copy": u[1].astype(np.int32), "_upto": u[2], "shard": np.repeat(np.arange(shards, dtype=np.int32), [d[s] for d in dealt])})
+        for s, u in units.items()
+    ]
+    places = pd.concat(frames) if frames else pd.DataFrame({"source": [], "_block": [], "copy": [], "_upto": [], "shard": []})
+    table = spark.createDataFrame(places, "source string, _block int, copy int, _upto bigint, shard int")
+    uses = table.groupBy("source", "_block").agg(F.array_sort(F.collect_list("_upto")).alias("_upto"))  # a block is used at most max_repeats times
+    if len(places) <= HELD_BLOCKS:
+        table, uses = F.broadcast(table), F.broadcast(uses)
+    repeats = F.size(F.filter("_upto", lambda x: x >= F.col("_u")))
+    documents = cut_up.join(uses, ["source", "_block"]).withColumn("repeats", repeats).where("repeats > 0").select(F.col("_id").alias(doc_id), "source", "n_tokens", "repeats")
+    copies = cut_up.join(table, ["source", "_block"]).where(F.col("_u") <= F.col("_upto")).select(
         "shard", F.xxhash64(F.lit(seed), "shard", "_id", "copy").alias("place"), F.col("_id").alias(doc_id), "source", "copy", "n_tokens"
     )
     sums = documents.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens"), F.count("*").alias("documents"), F.sum("repeats").alias("uses"))
@@ -178,9 +199,9 @@ def mix(docs: DataFrame, doc_id: str, text: str, source: str, targets: DataFrame
     shares = shares.join(F.broadcast(everything)).select(  # one row
         "source", "target_share", F.when(F.col("_all") > 0, F.col("tokens") / F.col("_all")).otherwise(0.0).alias("actual_share"), "tokens", "available_tokens", "documents", "uses", "max_repeats"
     )
-    return Mix(documents, copies, shares)
+    return Mix(documents, copies, shares, shards)
 
 
-def shuffled_shards(copies: DataFrame, shards: int) -> DataFrame:
-    """The uses with each shard in one partition of its own order, ready to be written."""
-    return copies.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "place")
+def shuffled_shards(mixed: Mix) -> DataFrame:
+    """The uses with each shard in one partition and in its own order, ready to be written."""
+    return mixed.copies.repartition(mixed.shards, "shard").sortWithinPartitions("shard", "place")

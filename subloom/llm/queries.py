@@ -149,4 +149,4 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def p9_shards(spark: SparkSession, d: str) -> DataFrame:
-    return shuffled_shards(_mixed(spark, d).copies, 16)
+    return shuffled_shards(_mixed(spark, d))

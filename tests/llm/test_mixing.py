@@ -37,6 +37,29 @@ def test_shares_repeats_and_shards(spark):
     assert sorted(map(tuple, again.copies.select("shard", "place", "doc_id").collect())) == sorted((r["shard"], r["place"], r["doc_id"]) for r in copies)
 
 
+@pytest.mark.parametrize("held", [M.HELD_BLOCKS, 0])
+@pytest.mark.parametrize("times", [1, 4])
+def test_documents_shares_and_shards_come_from_one_draw(spark, monkeypatch, held, times):
+    monkeypatch.setattr(M, "HELD_BLOCKS", held)
+    monkeypatch.setattr(M, "SHARD_TOKENS", 2000)
+    rng = random.Random(17)
+    rows = [r for _ in range(times) for r in docs(rng)]
+    df = spark.createDataFrame([(i, *r[1:]) for i, r in enumerate(rows)], D)
+    targets = spark.createDataFrame([("big", 0.4, 2, ""), ("mid", 0.4, 3, ""), ("small", 0.2, 7, "")], T)
+    m = M.mix(df, "doc_id", "text", "source", targets)
+    shares = {r["source"]: r for r in m.shares.collect()}
+    uses, used = m.copies.collect(), {r["doc_id"]: r for r in m.documents.collect()}
+    total = sum(r["n_tokens"] for r in uses)
+    assert m.shards == max(16, -(-total // 2000)) or abs(m.shards - total / 2000) < 2
+    longest = max(r["n_tokens"] for r in uses)
+    most = min(shares[s]["available_tokens"] * k / w for s, w, k in (("big", 0.4, 2), ("mid", 0.4, 3), ("small", 0.2, 7)))
+    for s, w in (("big", 0.4), ("mid", 0.4), ("small", 0.2)):
+        own = [r for r in uses if r["source"] == s]
+        assert sum(r["n_tokens"] for r in own) == shares[s]["tokens"] == sum(r["n_tokens"] * r["repeats"] for r in used.values() if r["source"] == s)
+        assert abs(shares[s]["tokens"] - most * w) <= longest / 2 + 1
+    assert all(sum(1 for r in uses if r["doc_id"] == k) == r["repeats"] for k, r in list(used.items())[:40])
+
+
 def test_total_and_errors(spark):
     df = spark.createDataFrame(docs(random.Random(16)), D)
     targets = spark.createDataFrame([("big", 0.5, 1, ""), ("small", 0.5, 9, "")], T)
@@ -63,8 +86,9 @@ def test_splitting_tree_is_exact_and_fair():
 
 
 def test_token_sizes_match_the_tokenizer(spark):
-    encode = M._encoding(M.VOCABULARY).encode_ordinary
-    texts = ["Hello there, 港の手紙", "", None, "x" * 20_000]
+    with open(M.VOCABULARY, "rb") as f:
+        encode = M._encoding(f.read()).encode_ordinary
+    texts = ["Hello there, 港の手紙", "", None, "x" * 20_000, "Hello there, 港の手紙"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = {r["i"]: r["n_tokens"] for r in M.token_sizes(df, "t", ["i"]).collect()}
     assert got == {i: len(encode(t)) for i, t in enumerate(texts) if t is not None}
