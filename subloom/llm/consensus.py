@@ -202,7 +202,7 @@ def consensus(df: DataFrame, key: str, votes: Column, held_pairs: int = HELD_PAI
     hashed = F.transform("_o", lambda v: F.struct(F.xxhash64(v["model"]).alias("m"), F.xxhash64(v["label"]).alias("l"), F.xxhash64(v["model"], v["label"]).alias("p")))
     rows = df.select(F.col(key).alias("_key"), ordered.alias("_o")).withColumn("votes", hashed)
     taught = rows.where(F.size("votes") >= 2)
-    patterns = checkpointed(taught.groupBy(F.col("votes")).agg(F.count("*").alias("n")).withColumn("id", F.xxhash64(F.to_json("votes"))))
+    patterns = checkpointed(taught.groupBy(F.col("votes")).agg(F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id()))
     each = taught.select(F.explode(F.arrays_zip("_o", "votes")).alias("z")).select("z._o.model", "z.votes.m", "z.votes.p", "z.votes.l")
     pairs = checkpointed(each.groupBy("p", "m", "l").agg(F.min("model").alias("model"), F.count("*").alias("n")))
     labels = pairs.select("l").distinct().count()

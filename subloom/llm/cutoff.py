@@ -3,7 +3,8 @@
 A bounded sample of the texts serves as intact examples; each of them is also cut at random places, with and without a mark
 at the break. Hashed closing characters, punctuation, the shape of the last lines and the distance to the source's length
 limits are the features of a logistic regression; sampled texts that a fit on the other texts takes for cut are left out of the last
-one. Limits are counted over all distinct texts, and every text is scored.
+one. Limits are counted over all distinct texts, and every text is scored. The texts are read once: what is needed of each, its
+end and its lengths, is written, and the whole text only of the sample.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subloom.session import require_columns
+from subloom.session import checkpointed, require_columns
 
 #: Texts of the sample; the classifier is fitted on them on the driver.
 SAMPLE = 8000
@@ -29,6 +30,11 @@ DIMENSIONS = 1 << 18
 MARKS = {"": 0.6, "...": 0.14, "�": 0.14, " ...": 0.02, "[...]": 0.02, "-": 0.02, "\n": 0.02, "」": 0.01, "…": 0.005, "……": 0.005}
 #: A length is taken for a limit of its source if so many distinct texts have exactly that length, and this share of the source's distinct texts.
 LIMIT_TEXTS, LIMIT_SHARE = 6, 0.01
+#: Sizes in bytes that a source may transfer its texts in, the bytes by which a broken character may shift the end, and how far beyond chance (in standard
+#: deviations) the texts that end there must be.
+BLOCKS, SHIFT, CLEAR = tuple(1 << k for k in range(6, 17)), 3, 8.0
+#: Characters at the end of a text that its features are taken from.
+TAIL = 160
 #: Limits of up to so many sources are sent to every worker.
 HELD_SOURCES = 10_000
 #: The sample is cleaned of texts that really are cut: each part is judged by a fit on the others, this many times, and kept below this probability.
@@ -55,19 +61,26 @@ def _off(size: int, limits: list[int]) -> int:
     return max(-4, min(4, size - min(limits, key=lambda x: (abs(size - x), x))))
 
 
-def at_limits(text: str, char_limits: list[int] | None, byte_limits: list[int] | None) -> list[int]:
-    """Slots of the features that tell how far a text is from the nearest of its source's limits."""
+def at_limits(chars: int, size: int, last: str, limits: tuple) -> list[int]:
+    """Slots of the features that tell how far a text of ``chars`` characters and ``size`` bytes is from the nearest of its source's limits.
+
+    limits: lengths in characters, in bytes, and the size of a block; each may be None.
+    """
+    char_limits, byte_limits, block = limits
     out = []
     if char_limits:
-        out += [f"C{_off(len(text), char_limits)}", f"C{len(text) in char_limits}|{text[-1:]}"]
+        out += [f"C{_off(chars, char_limits)}", f"C{chars in char_limits}|{last}"]
     if byte_limits:
-        out.append(f"B{_off(len(text.encode()), byte_limits)}")
+        out.append(f"B{_off(size, byte_limits)}")
+    if block:
+        near = (size + SHIFT) % block < 2 * SHIFT
+        out += [f"P{near}", f"P{near}|{last}"]
     return _slots(out)
 
 
 def closing(text: str) -> list[int]:
-    """Slots of the features of a text's end."""
-    tail = text[-160:]
+    """Slots of the features of a text's end; no more than its last TAIL characters are looked at."""
+    tail = text[-TAIL:]
     seen = tail.rstrip(" \t\r\n　")
     core = _TRAIL.sub("", seen)
     mark = seen[len(core) :]
@@ -86,15 +99,9 @@ def closing(text: str) -> list[int]:
     # a subtitle's text follows a line with times
     cue = "-->" in before or (len(lines) > 2 and "-->" in lines[-3 if before else -2])
     out += [f"q{cue}|{'-->' in last}|{mark[:1]}|{script}", f"q{cue}|{mark[:1]}|{core[-2:]}"]
-    out.append(f"P{(len(text.encode()) + 3) % 256 < 6}")
     return _slots(out)
 
 
-def features(text: str, char_limits: list[int] | None, byte_limits: list[int] | None) -> list[int]:
-    """Slots of all features of a text; the limits are those of its source."""
-    return closing(text) + at_limits(text, char_limits, byte_limits)
-
-
 def _padded(rows: list[list[int]]) -> np.ndarray:
     """Slots as an array; slot DIMENSIONS has no weight."""
     out = np.full((len(rows), max(map(len, rows))), DIMENSIONS, np.int64)
@@ -140,13 +147,14 @@ def cut(text: str, rng: random.Random) -> str | None:
     return left + rng.choices(list(MARKS), list(MARKS.values()))[0]
 
 
-def fit(sample: list[tuple[str, list[int] | None, list[int] | None]], seed: int = 7) -> tuple[np.ndarray, dict]:
-    """(weights, figures on held-out texts) from (text, char_limits, byte_limits) examples, in a fixed order."""
+def fit(sample: list[tuple[str, tuple]], seed: int = 7) -> tuple[np.ndarray, dict]:
+    """(weights, figures on held-out texts) from (text, limits of its source) examples, in a fixed order."""
     rng = random.Random(seed)
     held = max(1, len(sample) // 10)
     own, artificial = [], []
-    for text, chars, size in sample:
-        own.append((closing(text), at_limits(text, chars, size)))
+    for text, limits in sample:
+        chars, size, block = limits
+        own.append((closing(text), at_limits(len(text), len(text.encode()), text[-1:], limits)))
         made = []
         for _ in range(CUTS):
             part = cut(text, rng)
@@ -154,7 +162,10 @@ def fit(sample: list[tuple[str, list[int] | None, list[int] | None]], seed: int
                 continue
             # as a field limit would have cut it, or at no limit at all
             at = rng.random()
-            limited = at_limits(part, [len(part)] if chars and at < 0.15 else chars, [len(part.encode())] if size and 0.15 <= at < 0.3 else size)
+            n, length = len(part.encode()), len(part)
+            if block and 0.3 <= at < 0.45:
+                n = block * -(-n // block)
+            limited = at_limits(length, n, part[-1:], ([length] if chars and at < 0.15 else chars, [n] if size and 0.15 <= at < 0.3 else size, block))
             made.append((closing(part), limited))
         artificial.append(made)
     kept = np.ones(len(sample), bool)
@@ -189,16 +200,26 @@ def score(w: np.ndarray, rows: list[list[int]]) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(w[_padded(rows)].sum(1) + w[-1], -40, 40)))
 
 
-def _limits(df: DataFrame) -> DataFrame:
-    """(s, chars, bytes): per source the lengths that enough of its distinct texts have to be limits, in order; LIMIT_SHARE bounds their number."""
+def _limits(texts: DataFrame) -> DataFrame:
+    """(s, chars, bytes, block) from (s, h, c, b), the hash and the lengths of each text: per source the lengths that enough of its distinct texts have to be limits, in order; LIMIT_SHARE
+    bounds their number. block: the size of BLOCKS whose multiples the lengths in bytes meet most clearly beyond chance, if any."""
     # copies of a text tell nothing of a limit: each text counts once for its source
-    texts = df.select("s", F.xxhash64("t").alias("h"), F.length("t").alias("c"), F.octet_length("t").alias("b")).distinct()
+    texts = texts.select("s", "h", "c", "b").distinct()
     sizes = texts.select("s", F.explode(F.array(F.struct(F.lit("c").alias("u"), F.col("c").alias("n")), F.struct(F.lit("b").alias("u"), F.col("b").alias("n")))).alias("x"))
     counted = sizes.groupBy("s", "x.u", "x.n").agg(F.count("*").alias("k"))
     totals = counted.where("u = 'c'").groupBy("s").agg(F.sum("k").alias("all"))
     common = counted.where(F.col("k") >= LIMIT_TEXTS).join(totals, "s").where(F.col("k") >= LIMIT_SHARE * F.col("all"))
     each = lambda u: F.array_sort(F.collect_list(F.when(F.col("u") == u, F.col("n"))))
-    return common.groupBy("s").agg(each("c").alias("chars"), each("b").alias("bytes"))
+    lengths = common.groupBy("s").agg(each("c").alias("chars"), each("b").alias("bytes"))
+    hits = [F.count_if((F.col("b") > m) & ((F.col("b") + SHIFT) % m < 2 * SHIFT)).alias(f"_h{m}") for m in BLOCKS] + [F.count_if(F.col("b") > m).alias(f"_n{m}") for m in BLOCKS]
+    beyond = []
+    for m in BLOCKS:
+        chance = F.col(f"_n{m}") * F.lit(2 * SHIFT / m)
+        more = F.col(f"_h{m}") - chance
+        clear = more / F.sqrt(F.greatest(chance, F.lit(1.0)))
+        beyond.append(F.when((clear >= CLEAR) & (F.col(f"_h{m}") >= LIMIT_TEXTS) & (more >= LIMIT_SHARE * F.col("_all")), F.struct(clear.alias("z"), F.lit(m).alias("m"))))
+    blocks = texts.groupBy("s").agg(F.count("*").alias("_all"), *hits).select("s", F.array_max(F.array_compact(F.array(*beyond)))["m"].alias("block"))
+    return lengths.join(blocks.where("block is not null"), "s", "full")
 
 
 def scored(df: DataFrame, key: str, text: str, source: str, sample: int = SAMPLE) -> DataFrame:
@@ -209,31 +230,37 @@ def scored(df: DataFrame, key: str, text: str, source: str, sample: int = SAMPLE
     """
     require_columns(df, key, text, source)
     spark = df.sparkSession
+    share = min(1.0, 1.1 * sample / max(1, df.count()))
+    lot = F.xxhash64(F.lit(11), "k", "t")
+    sound = F.col("t").rlike(r"(?U)[^\s\x1c-\x1f]")
+    drawn = sound & (lot <= min(2**63 - 1, int(-(2**63) + share * 2**64)))
     rows = df.select(F.col(key).alias("k"), F.col(source).cast("string").alias("s"), F.col(text).alias("t"))
-    limits = _limits(rows.where(F.col("t").isNotNull()).withColumn("s", F.coalesce("s", F.lit("\0")))).withColumnRenamed("s", "ls")
+    ends = rows.select(
+        "k", "s", F.xxhash64("t").alias("h"), F.length("t").alias("c"), F.octet_length("t").alias("b"), F.expr(f"right(t, {TAIL})").alias("tail"), F.coalesce(sound, F.lit(False)).alias("ok"),
+        F.when(drawn, lot).alias("lot"), F.when(drawn, F.col("t")).alias("whole"),
+    )
+    ends = checkpointed(ends.withColumn("s", F.coalesce("s", F.lit("\0"))))
+    limits = _limits(ends.where("c is not null"))
     few = limits.limit(HELD_SOURCES + 1).collect()
     if len(few) <= HELD_SOURCES:  # else the limits are joined by an exchange
         limits = F.broadcast(spark.createDataFrame(few, limits.schema))
-    limited = rows.join(limits, F.coalesce(rows["s"], F.lit("\0")) == F.col("ls"), "left").drop("ls")
-    usable = limited.where(F.trim("t") != "")
-    share = min(1.0, 1.1 * sample / max(1, rows.where(F.trim("t") != "").count()))
-    lot = F.xxhash64(F.lit(11), "k", "t")
-    drawn = usable.where(lot <= min(2**63 - 1, int(-(2**63) + share * 2**64))).select("t", "chars", "bytes", lot.alias("h"))
-    chosen = drawn.limit(2 * sample).toPandas().sort_values(["h", "t"], kind="stable")[:sample]
+    limited = ends.join(limits, "s", "left")
+    examples = limited.where("lot is not null").dropDuplicates(["lot"]).select("lot", "whole", "chars", "bytes", "block").toPandas()
+    chosen = examples.sort_values("lot", kind="stable")[:sample]
     listed = lambda x: None if x is None else [int(n) for n in x]
-    examples = [(t, listed(c), listed(b)) for t, c, b in zip(chosen["t"], chosen["chars"], chosen["bytes"])]
-    weights, _ = fit(examples)
+    size = lambda x: None if x is None or x != x else int(x)
+    weights, _ = fit([(t, (listed(c), listed(b), size(m))) for t, c, b, m in zip(chosen["whole"], chosen["chars"], chosen["bytes"], chosen["block"])])
     held = spark.sparkContext.broadcast(weights.astype(np.float32))
     kind = dict(df.dtypes)[key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, chars, sizes = (batch.column(i).to_pylist() for i in (2, 3, 4))
-            p = score(held.value, [features(t or "", c, b) for t, c, b in zip(texts, chars, sizes)])
-            p = np.where([not (t or "").strip() for t in texts], 0.0, p)
+            tails, chars, sizes, good, *own = (batch.column(i).to_pylist() for i in range(2, 9))
+            p = score(held.value, [closing(t or "") + at_limits(c or 0, b or 0, (t or "")[-1:], x) for t, c, b, x in zip(tails, chars, sizes, zip(*own))])
+            p = np.where(good, p, 0.0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.string()), pa.array(p, pa.float64())], names=["k", "s", "p"])
 
-    made = limited.select("k", "s", "t", "chars", "bytes").mapInArrow(run, f"k {kind}, s string, p double")
+    made = limited.select("k", F.nullif("s", F.lit("\0")).alias("s"), "tail", "c", "b", "ok", "chars", "bytes", "block").mapInArrow(run, f"k {kind}, s string, p double")
     return made.select(F.col("k").alias(key), F.col("s").alias(source), F.col("p").alias("p_cut"), (F.col("p") >= BAR).alias("is_cut"))
 
 

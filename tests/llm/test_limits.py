@@ -10,7 +10,7 @@ def texts(rng, n, length):
 
 
 def limits(spark, rows):
-    df = spark.createDataFrame(rows, "s string, t string")
+    df = spark.createDataFrame(rows, "s string, t string").select("s", F.xxhash64("t").alias("h"), F.length("t").alias("c"), F.octet_length("t").alias("b"))
     return {r["s"]: r["chars"] for r in C._limits(df).collect()}
 
 
@@ -26,7 +26,7 @@ def test_every_limit_of_a_source_counts(spark):
     rng = random.Random(16)
     rows = [("a", t) for t in texts(rng, 200, lambda r: r.randrange(300, 3000)) + texts(rng, 90, lambda r: 250) + texts(rng, 40, lambda r: 120)]
     assert limits(spark, rows) == {"a": [120, 250]}
-    at = lambda n, held: set(C.at_limits("あ" * n, held, None))
+    at = lambda n, held: set(C.at_limits(n, 3 * n, "あ", (held, None, None)))
     assert at(120, [120, 250]) == at(250, [120, 250]) == at(250, [250]) != at(120, [250])
     assert at(249, [120, 250]) == at(249, [250]) and at(121, [120, 250]) == at(121, [120])
 
@@ -40,3 +40,16 @@ def test_texts_at_the_limit_are_found_beside_copies(spark):
     cut = {i for i, t in enumerate(whole) if len(t) > 130 and t[129] != "。"}
     found = {i for i, r in got.items() if r["is_cut"]}
     assert len(found & cut) >= 0.98 * len(cut) and len(found - cut) <= 0.02 * len(cut)
+
+
+def test_block_sizes_are_learned_from_the_lengths(spark):
+    rng = random.Random(18)
+    free = ["x" * rng.randrange(300, 9000) + str(i) for i in range(2000)]
+    rows = [("free", t) for t in free]
+    for s, m in (("small", 512), ("large", 4096)):
+        rows += [(s, t) for t in free[:900]] + [(s, f"{i:06d}" + "y" * (m * rng.randrange(1, 9) - 6 + rng.randrange(-3, 3))) for i in range(150)]
+    df = spark.createDataFrame(rows, "s string, t string").select("s", F.xxhash64("t").alias("h"), F.length("t").alias("c"), F.octet_length("t").alias("b"))
+    assert {r["s"]: r["block"] for r in C._limits(df).collect() if r["block"]} == {"small": 512, "large": 4096}
+    near = lambda n: set(C.at_limits(n, n, "x", (None, None, 512)))
+    assert near(1024) == near(1021) == near(1026) != near(1027) == near(700)
+    assert C.at_limits(1024, 1024, "x", (None, None, None)) == []
