@@ -125,6 +125,44 @@ def episode_of_file(name: Column) -> Column:
     return F.regexp_extract(name, r"(?i)(?:_|\b)(\d{1,4})(?=\.(?:srt|ass)\z)", 1).try_cast("int")
 
 
+def episode_numbers(c: Column, digits: int = 4) -> Column:
+    """``1,3-5`` as the episodes named, padded with zeros to ``digits``, each once and in ascending order; null if a part is malformed or descends."""
+    numbers = expand_ranges(c)
+    return F.transform(F.array_sort(F.array_distinct(numbers)), lambda n: F.when(n >= 10**digits, n.cast("string")).otherwise(F.lpad(n.cast("string"), digits, "0")))
+
+
+def four_digits(name: Column) -> Column:
+    """The first run of exactly four digits that opens a name or follows an underscore and that no digit follows; null if there is none."""
+    return F.nullif(F.regexp_extract(name, r"(?:^|_)(\d{4})(?=\D|\z)", 1), F.lit(""))
+
+
+def last_four_digits(name: Column) -> Column:
+    """The last four digits between underscores, hyphens or the ends of a name; null if there are none."""
+    return F.try_element_at(F.regexp_extract_all(name, F.lit(r"(?:^|[_-])(\d{4})(?=\z|[_-])"), F.lit(1)), F.lit(-1))
+
+
+def cluster_key(c: Column) -> Column:
+    """``cluster:<episode>:<speaker>`` as ``<episode of four digits>:<speaker>``; what has no such form stays as it is."""
+    episode, speaker = F.regexp_extract(c, r"^cluster:(.*):([^:]*)\z", 1), F.regexp_extract(c, r"^cluster:(.*):([^:]*)\z", 2)
+    return F.when(c.rlike(r"^cluster:(.*):([^:]*)\z"), F.concat(F.when(F.length(episode) < 4, F.lpad(episode, 4, "0")).otherwise(episode), F.lit(":"), speaker)).otherwise(c)
+
+
+def safe_name(c: Column) -> Column:
+    """A name without the characters that file systems refuse, each run of them as one underscore, without blanks, points and underscores at its ends; ``unnamed`` if nothing is left."""
+    clean = F.regexp_replace(F.regexp_replace(c, r"[\\\\/:*?\"<>|\x00-\x1f]+", "_"), r"^[ ._]+|[ ._]+\z", "")
+    return F.when(clean == "", "unnamed").otherwise(clean)
+
+
+def letter_tokens(c: Column) -> Column:
+    """The distinct runs of the letters a to z of a name in any letter case, in the order in which they first stand."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("[a-z]+"), F.lit(0)))
+
+
+def dbfs(amplitude: Column) -> Column:
+    """An amplitude of at most 1 in decibels of full scale; silence as that of 1e-12."""
+    return 20 * F.log10(F.greatest(amplitude.cast("double"), F.lit(1e-12)))
+
+
 def _normal(form: str, fold: bool, blanks: str) -> Column:
     @F.pandas_udf(StringType())
     def made(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -109,3 +109,49 @@ def drawn_by_hash(df: DataFrame, scope: list[str], ids: list[str], ratio: float)
     quota = places.groupBy(*scope).agg(F.greatest(F.lit(1), F.ceil(F.sum("_k") * ratio)).alias("_quota"))
     chosen = ranked.join(quota, scope).where(F.coalesce("_before", F.lit(0)) < F.col("_quota")).select(*scope, "_pos")
     return rows.join(chosen, [*scope, "_pos"], "left_semi").drop("_sha", "_pos")
+
+
+def levels(samples: DataFrame, keys: list[str], value: str, clip: float = 0.999, quiet: float = 1e-4) -> DataFrame:
+    """(keys…, samples, rms, peak, clipping_ratio, silence_ratio) of the samples of each key, values of -1 to 1; nulls don't count."""
+    x = F.abs(F.col(value).cast("double"))
+    share = lambda c: F.avg(c.cast("double"))
+    return samples.where(F.col(value).isNotNull()).groupBy(*keys).agg(
+        F.count("*").alias("samples"), F.sqrt(F.avg(x * x)).alias("rms"), F.max(x).alias("peak"), share(x >= clip).alias("clipping_ratio"), share(x < quiet).alias("silence_ratio")
+    )
+
+
+def disjoint_keys(df: DataFrame, taken: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose keys no row of ``taken`` has, null keys being keys like any other: what may be used without leaking from one set into the other."""
+    other = taken.select(*[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)]).distinct()
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & df[k].eqNullSafe(other[f"_o{i}"])
+    return df.join(other, same, "left_anti")
+
+
+def by_episode(parts: dict[str, DataFrame], keys: list[str]) -> DataFrame:
+    """(keys…, in_<name>…, absent): which of the parts have rows of each key, and the names of those that have none, in order."""
+    tagged = None
+    for name, df in parts.items():
+        own = df.select(*keys).distinct().withColumn("_part", F.lit(name))
+        tagged = own if tagged is None else tagged.unionByName(own)
+    has = tagged.groupBy(*keys).agg(*[F.max(F.col("_part") == n).alias(f"in_{n}") for n in parts])
+    return has.withColumn("absent", F.array_compact(F.array(*[F.when(~F.col(f"in_{n}"), F.lit(n)) for n in parts])))
+
+
+def merged_plans(parts: dict[str, DataFrame], key: str, same: list[str]) -> DataFrame:
+    """The rows of all parts by name with ``plan`` and ``duplicate``: true for a row whose key or whose values of ``same`` another row of any part has too.
+
+    Null keys and rows in which all of ``same`` are null are no duplicates of each other. Rows are told apart by hashes of 128 bits, counted before they meet the rows.
+    """
+    every = None
+    for name, df in parts.items():
+        own = df.withColumn("plan", F.lit(name))
+        every = own if every is None else every.unionByName(own, allowMissingColumns=True)
+    told = F.to_json(F.struct(*same), {"ignoreNullFields": "false"})
+    full = F.coalesce(*[F.col(c).cast("string") for c in same]).isNotNull()
+    rows = every.withColumn("_same", F.when(full, F.struct(F.xxhash64(told).alias("a"), F.xxhash64(F.lit(1), told).alias("b"))))
+    keys = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_k")).where("_k > 1").select(F.col(key).alias("_key"), F.lit(True).alias("_twice"))
+    values = rows.where("_same is not null").groupBy("_same").agg(F.count("*").alias("_k")).where("_k > 1").select(F.col("_same").alias("_value"), F.lit(True).alias("_alike"))
+    out = rows.join(keys, F.col(key) == F.col("_key"), "left").join(values, F.col("_same") == F.col("_value"), "left")
+    return out.withColumn("duplicate", F.coalesce("_twice", "_alike", F.lit(False))).drop("_same", "_key", "_twice", "_value", "_alike")

@@ -65,7 +65,7 @@ def rule_table(spark: SparkSession, rules=TURN_RULES) -> DataFrame:
 def judge_records(df: DataFrame, key: str = "line_id", raw: str = "raw", fields=TURN_FIELDS, rules=TURN_RULES) -> tuple[DataFrame, DataFrame]:
     """(good, bad) of the records in ``raw``.
 
-    ``bad`` has ``key`` and ``reason``, the first rule by priority that the record breaks; ``good`` has ``key``
+    ``bad`` has ``key``, ``reason``, the first rule by priority that the record breaks, and ``reasons``, all of them in that order; ``good`` has ``key``
     and the typed fields. Cells are exploded into (row, column, value), joined to the rule table, judged, and the
     failures of a row aggregated; the good rows are those without a failure (anti-join). Every input row gives
     exactly one row in one of the two, also when it is repeated or its key is null; a null record counts as an
@@ -100,10 +100,10 @@ def judge_records(df: DataFrame, key: str = "line_id", raw: str = "raw", fields=
         cells.join(F.broadcast(rule_table(spark, rules)), "column_no")
         .where(fails)
         .groupBy(F.col("_key").alias("_ekey"), F.col("_sum").alias("_esum"))
-        .agg(F.min(F.struct("priority", "reason"))["reason"].alias("reason"))
+        .agg(F.transform(F.array_sort(F.collect_set(F.struct("priority", "reason"))), lambda x: x["reason"]).alias("reasons"))  # one per rule at most
     )
     same = F.col("_key").eqNullSafe(F.col("_ekey")) & (F.col("_sum") == F.col("_esum"))
-    bad = rows.join(errors, same).select(F.col("_key").alias(key), "reason")
+    bad = rows.join(errors, same).select(F.col("_key").alias(key), F.col("reasons")[0].alias("reason"), "reasons")
     clean = rows.join(errors, same, "left_anti").select("_key", split_fields(F.coalesce("_raw", F.lit(""))).alias("_f"))
     kinds = {"source_index": "int", "start_seconds": "double", "end_seconds": "double"}
     typed = [

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from subloom.session import checkpointed
+from subloom.session import checkpointed, joined
 
 #: Bits of a position within a block, unless the caller gives others, and bits by which each further level of blocks is wider.
 BITS, STEP = 20, 12
@@ -28,10 +28,10 @@ def carried(df: DataFrame, keys: list[str], pos: str, val: Column, out: str, how
     the order and are left out. ``bits``: the width of a block. The blocks' values, one row each, are written once.
     """
     base = df.where(F.col(pos).isNotNull()).withColumn("_val", val).withColumn("_b", F.shiftright(F.col(pos).cast("bigint"), bits))
-    fold, join = _folds(how)
+    fold, put = _folds(how)
     w = Window.partitionBy(*keys, "_b").orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
-    rows = with_carry(base.withColumn("_in", fold("_val").over(w)), carry_over(base.groupBy(*keys, "_b").agg(fold("_val").alias("_m")), keys, how), keys)
-    return rows.withColumn(out, join("_in", "_carry")).drop("_val", "_in", "_carry", "_b")
+    rows = joined(base.withColumn("_in", fold("_val").over(w)), carry_over(base.groupBy(*keys, "_b").agg(fold("_val").alias("_m")), keys, how), [*keys, "_b"])
+    return rows.withColumn(out, put("_in", "_carry")).drop("_val", "_in", "_carry", "_b")
 
 
 def _folds(how: str):
@@ -44,7 +44,7 @@ def _folds(how: str):
 
 def carry_over(blocks: DataFrame, keys: list[str], how: str = "max") -> DataFrame:
     """(keys…, _b, _carry) from (keys…, _b, _m), one row per block: the fold of all blocks of the key before each one."""
-    fold, join = _folds(how)
+    fold, put = _folds(how)
     blocks = checkpointed(blocks)
     before = (Window.unboundedPreceding, -1)
     if blocks.count() <= FEW_BLOCKS:
@@ -60,20 +60,10 @@ def carry_over(blocks: DataFrame, keys: list[str], how: str = "max") -> DataFram
     for level in (1, 0):
         w = Window.partitionBy(*keys, f"_b{level + 1}").orderBy(f"_b{level}").rowsBetween(*before)
         inner = sums[level].withColumn("_in", fold("_m").over(w))
-        carry = with_carry(inner, carry, keys, f"_b{level + 1}").select(*keys, f"_b{level}", join("_in", "_carry").alias("_carry"))
+        carry = joined(inner, carry, [*keys, f"_b{level + 1}"]).select(*keys, f"_b{level}", put("_in", "_carry").alias("_carry"))
     return carry.withColumnRenamed("_b0", "_b")
 
 
-def with_carry(rows: DataFrame, carry: DataFrame, keys: list[str], block: str = "_b") -> DataFrame:
-    """Add ``_carry`` of the row's key and block; null keys meet."""
-    names = [*keys, block]
-    other = carry.withColumnsRenamed({n: f"_o{i}" for i, n in enumerate(names)})
-    met = F.lit(True)
-    for i, n in enumerate(names):
-        met = met & rows[n].eqNullSafe(other[f"_o{i}"])
-    return rows.join(other, met).drop(*[f"_o{i}" for i in range(len(names))])
-
-
 def previous(df: DataFrame, keys: list[str], pos: str, columns: list[str], out: str = "prev") -> DataFrame:
     """Add ``out``: a struct of ``pos`` and ``columns`` of the row before, null for the first of a key."""
     return carried(df, keys, pos, F.struct(pos, *[c for c in columns if c != pos]), out)

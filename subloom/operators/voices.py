@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subloom.operators.ordered import carried
+from subloom.operators.ordered import carried, numbered
+from subloom.session import joined
 
 #: Roles whose centroids are held by every worker at once; more are taken in blocks.
 HELD_ROLES = 10_000
@@ -110,7 +111,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[st
         bits = max(20, digits * 3)  # a value of 1 spans a handful of blocks
         line = carried(counts, keys, "_x", F.col("_k"), "_before", "sum", bits).withColumn("_before", F.coalesce("_before", F.lit(0)))
         totals = counts.groupBy(*keys).agg(F.sum("_k").alias("_n"))
-        line = with_keys(line, totals, keys)
+        line = joined(line, totals, keys)
         for name, (own, share) in wanted.items():
             if own != c:
                 continue
@@ -126,15 +127,6 @@ def exact_percentiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[st
     return every.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in wanted])
 
 
-def with_keys(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    """An inner join in which null keys meet."""
-    renamed = other.withColumnsRenamed({k: f"_o{i}" for i, k in enumerate(keys)})
-    met = F.lit(True)
-    for i, k in enumerate(keys):
-        met = met & rows[k].eqNullSafe(renamed[f"_o{i}"])
-    return rows.join(renamed, met).drop(*[f"_o{i}" for i in range(len(keys))])
-
-
 def thresholds(margins: DataFrame, role: str, fallback: tuple[float, float] = (0.0, 0.08)) -> DataFrame:
     """(role, clips, similarity_threshold, margin_threshold, confusable) from :func:`left_out`.
 
@@ -144,7 +136,7 @@ def thresholds(margins: DataFrame, role: str, fallback: tuple[float, float] = (0
     """
     rows = margins.where("own is not null")
     found = exact_percentiles(rows, [role], {"g": ("own", 0.1), "i": ("impostor", 0.95), "m": ("margin", 0.1)})
-    found = with_keys(rows.groupBy(role).agg(F.count("*").alias("clips")), found, [role])
+    found = joined(rows.groupBy(role).agg(F.count("*").alias("clips")), found, [role])
     floor = F.col("i") + 0.03
     least = F.coalesce(F.greatest("g", floor), F.lit(fallback[0]))
     margin = F.least(F.greatest(F.coalesce("m", F.lit(fallback[1])), F.lit(0.08)), F.lit(0.25))
@@ -180,7 +172,7 @@ def average_linkage(vectors: np.ndarray, threshold: float) -> np.ndarray:
     sums, size, first = np.array(vectors, float), np.ones(n), np.arange(n)
     mean = sums.copy()
     alive = np.ones(n, bool)
-    joined = np.arange(n)
+    merged = np.arange(n)
     chain: list[int] = []
     start, left = 0, n
     while left:
@@ -203,16 +195,16 @@ def average_linkage(vectors: np.ndarray, threshold: float) -> np.ndarray:
             mean[i] = sums[i] / size[i]
             alive[j] = False
             left -= 1
-            joined[first[j]] = first[i]
+            merged[first[j]] = first[i]
         elif len(chain) == 1 and (left == 1 or sims[j] < threshold):
             alive[i] = False
             left -= 1
             chain.clear()
         else:
             chain.append(j)
-    while (up := joined[joined]).tolist() != joined.tolist():
-        joined = up
-    return np.unique(joined, return_inverse=True)[1]
+    while (up := merged[merged]).tolist() != merged.tolist():
+        merged = up
+    return np.unique(merged, return_inverse=True)[1]
 
 
 def clustered(df: DataFrame, scope: str, ident: str, vector: str, threshold: float = 0.7) -> DataFrame:
@@ -322,3 +314,105 @@ def settled_clusters(df: DataFrame, scope: str, ident: str, vector: str, clean:
     rows = df.select(scope, ident, F.coalesce(F.col(clean), F.lit(False)).alias("_ok"), unit(F.col(vector)).alias("_u")).where("_u is not null")
     schema = f"{scope} {kinds[scope]}, {ident} {kinds[ident]}, cluster long, cluster_similarity double, outlier boolean, nearest long, nearest_similarity double"
     return rows.groupBy(scope).applyInPandas(one, schema)
+
+
+def enrolled(clips: DataFrame, interval: list[str], order: str, refused: Column) -> DataFrame:
+    """The clips and ``reject_reason``: that of ``refused`` (null for a sound clip), ``duplicate_interval`` for all but the first sound clip of an interval, else null.
+
+    The first by ``order``; a clip that is refused takes no interval. Equal values of ``order`` in one interval count as one place.
+    """
+    first = clips.where(refused.isNull()).groupBy(*interval).agg(F.min(order).alias("_first"))
+    rows = clips.withColumn("_why", refused)
+    rows = joined(rows, first, interval, "left")
+    return rows.withColumn("reject_reason", F.coalesce("_why", F.when(F.col(order) > F.col("_first"), "duplicate_interval"))).drop("_why", "_first")
+
+
+def readiness(kept: DataFrame, role: str, episode: str, seconds: str, least_seconds: float = 8.0, least_clips: int = 3, least_episodes: int = 1) -> DataFrame:
+    """(role, clips, seconds, episodes, issues, usable): whether enough is left of each role after :func:`kept_clips`, with (role, episode, seconds, kept).
+
+    issues: ``insufficient_total_duration``, ``insufficient_clips``, ``insufficient_distinct_episodes``; a role of which nothing is left has all of them.
+    """
+    good = F.col("kept")
+    out = kept.groupBy(role).agg(
+        F.count_if(good).alias("clips"), F.coalesce(F.sum(F.when(good, F.col(seconds))), F.lit(0.0)).alias("seconds"), F.count_distinct(F.when(good & (F.col(episode) != ""), F.col(episode))).alias("episodes")
+    )
+    issues = F.array_compact(
+        F.array(
+            F.when(F.col("seconds") < least_seconds, "insufficient_total_duration"),
+            F.when(F.col("clips") < least_clips, "insufficient_clips"),
+            F.when(F.col("episodes") < least_episodes, "insufficient_distinct_episodes"),
+        )
+    )
+    return out.withColumn("issues", issues).withColumn("usable", F.size("issues") == 0)
+
+
+def half_similarity(windows: DataFrame, keys: list[str], pos: str, vector: str, least: int = 3) -> DataFrame:
+    """(keys…, windows, similarity): how alike the two halves of a cue are, by the mean vectors of its first and its last windows; null under ``least`` windows.
+
+    The first half has half of the windows, rounded down. Vectors are taken at length 1; null and zero ones don't count.
+    """
+    rows = windows.select(*keys, pos, unit(F.col(vector)).alias("_u")).where("_u is not null")
+    rows = numbered(rows, keys, pos, "_n")
+    totals = rows.groupBy(*keys).agg(F.count("*").alias("_k"))
+    half = joined(rows, totals, keys).withColumn("_second", F.col("_n") > F.floor(F.col("_k") / 2))
+    sums = vector_sums(half, [*keys, "_second"], "_u")
+    both = sums.groupBy(*keys).agg(F.max(F.when(~F.col("_second"), F.struct("total"))).alias("_a"), F.max(F.when(F.col("_second"), F.struct("total"))).alias("_b"), F.sum("n").alias("windows"))
+    alike = F.when(F.col("windows") >= least, F.round(dot(unit(F.col("_a.total")), unit(F.col("_b.total"))), 9))
+    return both.select(*keys, "windows", alike.alias("similarity"))
+
+
+def speakers_of(similarity: np.ndarray, most: int) -> np.ndarray:
+    """Cluster numbers from the similarities of vectors by the eigenvectors of a graph of nearest neighbours.
+
+    Each vector is linked to its ten nearest ones (a hundredth of all from a thousand on), links of one side counting half; the number of clusters follows
+    from the largest gap between neighbouring eigenvalues of the Laplacian, ``most`` at the most. Groups are then found by k-means from the
+    rows of the smallest eigenvectors, started at rows that lie as far apart as can be.
+    """
+    n = len(similarity)
+    if n <= 2:
+        return np.zeros(n, int)
+    near = min(10, n - 2) if n < 1000 else n - int(0.99 * n)
+    links = np.zeros((n, n))
+    np.put_along_axis(links, np.argsort(similarity, 1, kind="stable")[:, -near:], 1.0, 1)
+    links = (links + links.T) / 2
+    np.fill_diagonal(links, 0)
+    values, vectors = np.linalg.eigh(np.diag(links.sum(1)) - links)
+    upper = max(1, min(most, n - 1))
+    gaps = np.diff(values[: upper + 1])
+    k = int(np.argmax(gaps)) + 1 if len(gaps) else 1
+    if k == 1:
+        return np.zeros(n, int)
+    points = vectors[:, :k]
+    chosen = [int(np.argmax((points**2).sum(1)))]
+    far = ((points - points[chosen[0]]) ** 2).sum(1)
+    while len(chosen) < k:
+        chosen.append(int(np.argmax(far)))
+        far = np.minimum(far, ((points - points[chosen[-1]]) ** 2).sum(1))
+    centres, label = points[chosen], np.full(n, -1)
+    for _ in range(100):
+        new = ((points[:, None] - centres[None]) ** 2).sum(2).argmin(1)
+        if (new == label).all():
+            break
+        label = new
+        centres = np.array([points[label == c].mean(0) if (label == c).any() else centres[c] for c in range(k)])
+    return np.unique(label, return_inverse=True)[1]
+
+
+#: Vectors of a scope up to which :func:`spectral` takes it: a task holds their square.
+SPECTRAL_SCOPE = 5000
+
+
+def spectral(df: DataFrame, scope: str, ident: str, vector: str, most: int = 20) -> DataFrame:
+    """(scope, ident, cluster) by :func:`speakers_of` within each scope; null for all of a scope of more than SPECTRAL_SCOPE vectors, which :func:`clustered` can take."""
+    kinds = dict(df.dtypes)
+    rows = df.select(scope, ident, unit(F.col(vector)).alias("_u")).where("_u is not null")
+    sizes = rows.groupBy(scope).agg((F.count("*") <= SPECTRAL_SCOPE).alias("_fits"))
+    rows = joined(rows, sizes, [scope])
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(ident, kind="stable")
+        v = np.array([np.asarray(x, float) for x in pdf["_u"]])
+        return pdf[[scope, ident]].assign(cluster=speakers_of(np.round(v @ v.T, 9), most))
+
+    made = rows.where("_fits").groupBy(scope).applyInPandas(one, f"{scope} {kinds[scope]}, {ident} {kinds[ident]}, cluster long")
+    return made.unionByName(rows.where("not _fits").select(scope, ident, F.lit(None).cast("bigint").alias("cluster")))

@@ -157,13 +157,26 @@ def q_resolve_overlaps(spark: SparkSession, d: str) -> DataFrame:
     return S.separated(timed(spark, d), KEYS, "source_index", "start", "end").select("episode", "source_index", "new_start", "new_end")
 
 
-@query()
+_STEPS = CUES.replace("WITH", "WITH RECURSIVE", 1) + """, x AS (SELECT episode, source_index, "start" AS t, "end" AS z, row_number() OVER (PARTITION BY episode ORDER BY source_index) AS n FROM timed),
+first AS (SELECT DISTINCT episode FROM x)"""
+
+
+@query(_STEPS + """, y AS (SELECT *, z - t AS d, source_index % 7 = 0 AS h FROM x),
+r AS (SELECT episode, 0 AS n, NULL::INTEGER AS source_index, NULL::BIGINT AS st, NULL::BOOLEAN AS manual, 0::BIGINT AS reached FROM first
+UNION ALL SELECT q.episode, q.n, q.source_index, CASE WHEN q.m THEN q.t ELSE q.st END, q.m, CASE WHEN q.m THEN q.reached ELSE greatest(q.reached, q.st + q.d) END FROM
+  (SELECT w.*, st - t > 1000 OR (h AND st > t) AS m FROM (SELECT y.episode, y.n::INTEGER AS n, y.source_index, y.t, y.d, y.h, r.reached, greatest(y.t, r.reached + 50) AS st FROM r JOIN y ON y.episode = r.episode AND y.n = r.n + 1) w) q)
+SELECT episode, source_index, st AS "start", manual FROM r WHERE n > 0
+""")
 def q_push_with_escape(spark: SparkSession, d: str) -> DataFrame:
     rows = _targets(spark, d).withColumn("hard", F.col("source_index") % 7 == 0)
     return S.pushed_with_escape(rows, KEYS, "source_index", "target", "length", "hard")
 
 
-@query()
+@query(_STEPS + """, r AS (SELECT episode, 0 AS n, 0 AS c, 0::BIGINT AS k, NULL::BIGINT AS s, NULL::BIGINT AS e FROM first
+UNION ALL SELECT q.episode, q.n, q.c + CASE WHEN cut THEN 1 ELSE 0 END, CASE WHEN cut THEN 1 ELSE q.k + 1 END, CASE WHEN cut THEN q.t ELSE q.s END, CASE WHEN cut THEN q.z ELSE greatest(q.e, q.z) END FROM
+  (SELECT x.episode, x.n::INTEGER AS n, x.t, x.z, r.c, r.k, r.s, r.e, r.s IS NULL OR (r.e - r.s >= 12000 AND x.t - r.e >= 500) OR x.z - r.s >= 25000 AS cut FROM r JOIN x ON x.episode = r.episode AND x.n = r.n + 1) q)
+SELECT episode, greatest(0, max(s) - 2000) AS chunk_start, max(e) + 2000 AS chunk_end, max(k) AS n FROM r WHERE n > 0 GROUP BY episode, c
+""")
 def q_chunks(spark: SparkSession, d: str) -> DataFrame:
     return S.chunks(timed(spark, d), KEYS, "source_index", "start", "end")
 

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from subloom.functions.timecodes import stamp_ms
 from subloom.operators import evidence as E
 from subloom.operators import roles as R
+from subloom.operators import transcripts as X
+from subloom.operators.keyed import first_rows
+from subloom.operators.ordered import previous
 from subloom.operators.voices import exact_percentiles
 from subloom.plans.cue_queries import CUES, TURNS, cues, timed, turns
 from subloom.plans.registry import query
@@ -74,18 +78,28 @@ def q_uncontained_turns(spark: SparkSession, d: str) -> DataFrame:
     return turns(spark, d).select("turn_id").join(_inside(spark, d), "turn_id", "left_anti")
 
 
-@query()
+@query(CUES.replace("WITH", "WITH RECURSIVE", 1) + TURNS + """, x AS (SELECT episode, rs * 2 AS s, re * 2 AS e, speaker AS l, row_number() OVER (PARTITION BY episode ORDER BY rs * 4096 + turn_id % 4096) AS n, count(*) OVER (PARTITION BY episode) AS k FROM turns),
+r AS (SELECT DISTINCT episode, 0 AS n, NULL::BIGINT AS k, NULL::BIGINT AS s, NULL::BIGINT AS e, NULL::VARCHAR AS l, NULL::BIGINT AS os, NULL::BIGINT AS oe, NULL::VARCHAR AS ol FROM x
+UNION ALL SELECT q.episode, q.n, q.k, CASE WHEN same THEN q.s WHEN meets THEN q.mid ELSE q.xs END, CASE WHEN same THEN greatest(q.e, q.xe) ELSE q.xe END, q.xl, CASE WHEN NOT same THEN q.s END, CASE WHEN NOT same THEN CASE WHEN meets THEN q.mid ELSE q.e END END, CASE WHEN NOT same THEN q.l END FROM
+  (SELECT x.episode, x.n::INTEGER AS n, x.k, x.s AS xs, x.e AS xe, x.l AS xl, r.s, r.e, r.l, (x.s + r.e) // 2 AS mid, coalesce(x.s <= r.e, false) AS meets, coalesce(x.s <= r.e AND x.l = r.l, false) AS same FROM r JOIN x ON x.episode = r.episode AND x.n = r.n + 1) q)
+SELECT episode, os / 2 AS s, oe / 2 AS e, ol AS speaker FROM r WHERE os IS NOT NULL UNION ALL SELECT episode, s / 2, e / 2, l FROM r WHERE n = k
+""")
 def q_single_speaker(spark: SparkSession, d: str) -> DataFrame:
     return E.single_speaker(turns(spark, d).withColumn("pos", F.col("rs") * 4096 + F.pmod("turn_id", F.lit(4096))), ["episode"], "pos", "rs", "re", "speaker")
 
 
-@query()
+@query("""
+WITH t AS (SELECT DISTINCT role AS t FROM role_catalog WHERE role <> ''), d AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
+m AS (SELECT text, t, length(t) AS n FROM d JOIN t ON contains(text, t)), o AS (SELECT text, t, n, unnest(list_filter(range(1, length(text) - n + 2), lambda i: substr(text, i, n) = t)) AS i FROM m),
+k AS (SELECT DISTINCT text, t FROM o WHERE NOT EXISTS (SELECT 1 FROM o p WHERE p.text = o.text AND p.n > o.n AND p.i <= o.i AND p.i + p.n >= o.i + o.n))
+SELECT doc_id, t AS term FROM documents JOIN k ON documents.text = k.text
+""")
 def q_role_mentions(spark: SparkSession, d: str) -> DataFrame:
     return E.mentions(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "role_catalog"), "role")
 
 
 def _edges(spark: SparkSession, d: str) -> DataFrame:
-    return R.relations(table(spark, d, "documents"), "title_code", "text", R.aliases(table(spark, d, "role_catalog"), "role"))
+    return R.relations(table(spark, d, "documents"), "title_code", "text")
 
 
 @query()
@@ -103,7 +117,11 @@ def q_addressed(spark: SparkSession, d: str) -> DataFrame:
     return R.addressed(table(spark, d, "cue_labels"), ["cue_id"], "text", _edges(spark, d), table(spark, d, "role_catalog").select("role"))
 
 
-@query()
+@query(CUES + """, d AS (SELECT episode, sha256(CAST(to_json(['=' || role, '=' || text, '=' || CAST("start" AS VARCHAR), '=' || CAST("end" AS VARCHAR)].list_transform(lambda v: coalesce(v, ''))) AS VARCHAR)) AS d,
+  row_number() OVER (PARTITION BY episode ORDER BY source_index) AS n FROM cues),
+b AS (SELECT episode, (n - 1) // 4096 AS b, sha256(string_agg(d, '' ORDER BY n)) AS d, count(*) AS k FROM d GROUP BY 1, 2)
+SELECT episode, CAST(sum(k) AS BIGINT) AS rows, sha256(string_agg(d, '' ORDER BY b)) AS digest FROM b GROUP BY 1
+""")
 def q_episode_digests(spark: SparkSession, d: str) -> DataFrame:
     return E.digests(cues(spark, d), ["episode"], "source_index", ["role", "text", "start", "end"])
 
@@ -156,3 +174,33 @@ def q_median_outliers(spark: SparkSession, d: str) -> DataFrame:
 def q_models_by_row(spark: SparkSession, d: str) -> DataFrame:
     keys = F.map_keys(F.from_json("model_candidates_json", "map<string, string>"))
     return R.crossed(table(spark, d, "voice_ensemble").select("ens_id", F.explode(keys).alias("k")), "ens_id", "k", MODELS)
+
+
+def _aligned(spark: SparkSession, d: str) -> DataFrame:
+    """The cues on the letters of the script's rows, 80 ms a letter from the row's time on."""
+    script = first_rows(table(spark, d, "script_rows").select("episode", "source_index", "script_row_id", F.col("台詞").alias("t"), F.col("タイムコード").alias("at")), ["episode", "source_index"], "script_row_id")
+    letters = script.where("t is not null").select("episode", "source_index", stamp_ms(F.col("at")).alias("at"), F.posexplode(F.split(E.spoken(F.col("t")), "")).alias("i", "letter")).where("at is not null and letter <> ''")
+    heard = letters.select("episode", (F.col("source_index").cast("bigint") * 100_000 + F.col("i")).alias("place"), "letter", (F.col("at") + 80 * F.col("i")).alias("s"), (F.col("at") + 80 * F.col("i") + 80).alias("e"))
+    return X.aligned(cues(spark, d).select("episode", "source_index", "text"), heard, ["episode"], "source_index", "text")
+
+
+@query()
+def q_aligned(spark: SparkSession, d: str) -> DataFrame:
+    return _aligned(spark, d)
+
+
+@query(CUES + r""", b AS (SELECT episode, source_index, cue_id, "start" AS s, "end" - 700 * (source_index % 2) AS ls, "end" AS le, length(regexp_replace(coalesce(text, ''), '[\s\x{3000}。、！？?!…，.,\-"'']', '', 'g')) AS n, text,
+  lead("start") OVER w AS ns, lead("end") OVER w AS ne, CASE WHEN source_index % 3 > 0 THEN "end" - 250 + 100 * (source_index % 5) END AS ee, CASE WHEN source_index % 4 > 0 THEN "end" + 30 END AS ve FROM timed WINDOW w AS (PARTITION BY episode ORDER BY source_index)),
+c AS (SELECT *, le - ls > 600 AS lang, least(CASE WHEN le - ls > 600 THEN ls + 300 ELSE le END, s + n * 350 + 1200) AS ai FROM b),
+f AS (SELECT *, CASE WHEN ee IS NOT NULL THEN CASE WHEN NOT lang AND ee < ai - 200 THEN ai + 50 ELSE ee END WHEN ve IS NOT NULL THEN ve ELSE ai END AS x FROM c),
+g AS (SELECT *, CASE WHEN regexp_matches(text, '[っッ]') AND ve IS NOT NULL AND ns - x < 300 THEN ne ELSE x END AS y FROM f),
+h AS (SELECT *, CASE WHEN n > 5 AND y - s < n * 60 THEN s + n * 60 ELSE y END AS z FROM g), k AS (SELECT *, CASE WHEN ee IS NOT NULL THEN least(ai + 100, z + 50) ELSE ai + 100 END AS q FROM h)
+SELECT cue_id, CAST(CASE WHEN q < s + 300 THEN s + 600 ELSE q END AS BIGINT) AS new_end FROM k
+""")
+def q_clamped_ends(spark: SparkSession, d: str) -> DataFrame:
+    rows = previous(timed(spark, d).withColumn("_back", -F.col("source_index")), ["episode"], "_back", ["start", "end"], "_next")
+    i, end = F.col("source_index"), F.col("end")
+    voice, energy = F.when(i % 4 > 0, end + 30), F.when(i % 3 > 0, end - 250 + 100 * (i % 5))
+    letters = F.length(E.spoken(F.coalesce("text", F.lit(""))))
+    made = X.clamped_end(F.col("start"), end - 700 * (i % 2), end, letters, F.col("text"), voice, F.col("_next.start"), F.col("_next.end"), energy)
+    return rows.select("cue_id", made.alias("new_end"))

@@ -248,3 +248,39 @@ def q_weighted_clusters(spark: SparkSession, d: str) -> DataFrame:
 def q_average_linkage(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "embeddings").withColumn("scope", F.col("label").cast("string"))
     return V.clustered(rows, "scope", "vec_id", "embedding", 0.3)
+
+
+@query("""
+WITH x AS (SELECT event_type, abs(value) / 100 AS x FROM events WHERE value IS NOT NULL)
+SELECT event_type, count(*) AS samples, round(sqrt(avg(x * x)), 9) AS rms, max(x) AS peak, round(avg(CASE WHEN x >= 0.999 THEN 1.0 ELSE 0.0 END), 9) AS clipping_ratio, round(avg(CASE WHEN x < 0.0001 THEN 1.0 ELSE 0.0 END), 9) AS silence_ratio FROM x GROUP BY 1
+""")
+def q_levels(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "events").select("event_type", (F.col("value") / 100).alias("x"))
+    out = K.levels(rows, ["event_type"], "x")
+    return out.select("event_type", "samples", "peak", *[F.round(c, 9).alias(c) for c in ("rms", "clipping_ratio", "silence_ratio")])
+
+
+@query("SELECT cue_id, c.episode, role FROM cue_labels c WHERE NOT EXISTS (SELECT 1 FROM voice_ensemble v WHERE v.episode IS NOT DISTINCT FROM c.episode AND v.ensemble_candidate IS NOT DISTINCT FROM c.role)")
+def q_disjoint_keys(spark: SparkSession, d: str) -> DataFrame:
+    taken = table(spark, d, "voice_ensemble").select("episode", F.col("ensemble_candidate").alias("role"))
+    return K.disjoint_keys(table(spark, d, "cue_labels").select("cue_id", "episode", "role"), taken, ["episode", "role"])
+
+
+@query("""
+WITH e AS (SELECT episode, 'labels' AS p FROM cue_labels UNION SELECT episode, 'script' FROM script_rows UNION SELECT episode, 'turns' FROM speaker_turns),
+g AS (SELECT episode, bool_or(p = 'labels') AS in_labels, bool_or(p = 'script') AS in_script, bool_or(p = 'turns') AS in_turns FROM e GROUP BY 1)
+SELECT *, list_filter([CASE WHEN NOT in_labels THEN 'labels' END, CASE WHEN NOT in_script THEN 'script' END, CASE WHEN NOT in_turns THEN 'turns' END], lambda x: x IS NOT NULL) AS absent FROM g
+""")
+def q_by_episode(spark: SparkSession, d: str) -> DataFrame:
+    return K.by_episode({"labels": table(spark, d, "cue_labels"), "script": table(spark, d, "script_rows"), "turns": table(spark, d, "speaker_turns")}, ["episode"])
+
+
+@query("""
+WITH a AS (SELECT cue_id AS k, episode, source_index, text, 'labels' AS plan FROM cue_labels UNION ALL SELECT script_row_id, episode, source_index, "台詞", 'script' FROM script_rows),
+n AS (SELECT *, count(*) OVER (PARTITION BY k) AS nk, count(*) OVER (PARTITION BY episode, source_index, text) AS ns FROM a)
+SELECT k, plan, nk > 1 OR (ns > 1 AND (episode IS NOT NULL OR source_index IS NOT NULL OR text IS NOT NULL)) AS duplicate FROM n
+""")
+def q_merged_plans(spark: SparkSession, d: str) -> DataFrame:
+    labels = table(spark, d, "cue_labels").select(F.col("cue_id").alias("k"), "episode", "source_index", "text")
+    script = table(spark, d, "script_rows").select(F.col("script_row_id").alias("k"), "episode", "source_index", F.col("台詞").alias("text"))
+    return K.merged_plans({"labels": labels, "script": script}, "k", ["episode", "source_index", "text"]).select("k", "plan", "duplicate")

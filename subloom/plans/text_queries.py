@@ -10,7 +10,7 @@ from subloom.functions import timecodes as C
 from subloom.operators import rules as R
 from subloom.plans.registry import query
 from subloom.session import table
-from subloom.sources.subtitles import srt_blocks, srt_cues
+from subloom.sources.subtitles import srt_blocks, srt_cues, srt_lenient
 
 B = "[" + T.BLANKS.replace("\\x0B", "\\x{0B}") + "]"
 
@@ -233,3 +233,24 @@ def q_expanded_indices(spark: SparkSession, d: str) -> DataFrame:
 @query(r"SELECT DISTINCT role, regexp_replace(trim(regexp_replace(role, '\s+', ' ', 'g')), '', '') AS shown FROM role_catalog")
 def q_role_names(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "role_catalog").select("role", T.name_form(F.col("role")).alias("shown")).distinct()
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(regexp_replace(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), '^\x{FEFF}', ''), '^\s+|\s+$', '', 'g'), '\n(?:[ \t]*\n)+'), lambda b: true) AS b FROM documents WHERE doc_kind = 'subtitle' AND text IS NOT NULL),
+r AS (SELECT doc_id, list_filter(list_transform(b, lambda x: list_filter(list_transform(string_split(x, chr(10)), lambda l: regexp_replace(l, '^[\s\x{3000}\x{A0}]+|[\s\x{3000}\x{A0}]+$', '', 'g')), lambda l: l <> '')), lambda l: len(list_filter(l, lambda y: contains(y, '-->'))) > 0) AS r FROM d),
+e AS (SELECT doc_id, unnest(r) AS l, generate_subscripts(r, 1) AS cue_id FROM r),
+a AS (SELECT doc_id, CAST(cue_id AS INTEGER) AS cue_id, l, list_position(list_transform(l, lambda y: contains(y, '-->')), true) AS p FROM e)
+SELECT doc_id, cue_id, array_to_string(l[p + 1:], ' ') AS text FROM a
+""")
+def q_srt_lenient(spark: SparkSession, d: str) -> DataFrame:
+    return srt_lenient(_subtitles(spark, d), ["doc_id"], "text").select("doc_id", "cue_id", "text")
+
+
+@query(r"""
+SELECT cue_id, 'cluster:' || episode || ':' || anonymous_speaker AS given, CASE WHEN anonymous_speaker IS NOT NULL AND episode IS NOT NULL THEN lpad(episode, CAST(greatest(4, length(episode)) AS INTEGER), '0') || ':' || anonymous_speaker END AS cluster_key,
+nullif(regexp_extract(frame, '(?:^|/)([0-9]{6})\.jpg$', 1), '') AS frame_no, list_distinct(regexp_extract_all(lower(frame), '[a-z]+')).list_sort() AS tokens FROM cue_labels
+""")
+def q_cluster_keys(spark: SparkSession, d: str) -> DataFrame:
+    given = F.concat(F.lit("cluster:"), F.col("episode"), F.lit(":"), F.col("anonymous_speaker"))
+    number = F.nullif(F.regexp_extract("frame", r"(?:^|/)([0-9]{6})\.jpg\z", 1), F.lit(""))
+    return table(spark, d, "cue_labels").select("cue_id", given.alias("given"), T.cluster_key(given).alias("cluster_key"), number.alias("frame_no"), F.array_sort(T.letter_tokens(F.col("frame"))).alias("tokens"))

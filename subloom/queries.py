@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from subloom.operators.copies import differences
 from subloom.operators.islands import periods_and_gaps
 from subloom.operators.malformed import judge_records
 from subloom.session import table
 
-from subloom.plans import cue_queries, evidence_queries, keyed_queries, stream_queries, text_queries  # noqa: E402,F401
+from subloom.plans import activity_queries, cue_queries, evidence_queries, gallery_queries, keyed_queries, review_queries, stream_queries, text_queries  # noqa: E402,F401
 from subloom.plans.registry import QUERIES, SQL  # noqa: E402
 
 
@@ -20,7 +21,13 @@ def query(f):
 
 @query
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return judge_records(table(spark, d, "raw_turn_lines"))[1]
+    return judge_records(table(spark, d, "raw_turn_lines"))[1].select("line_id", "reason")
+
+
+@query
+def p2_reasons(spark: SparkSession, d: str) -> DataFrame:
+    """Every reason of each bad record."""
+    return judge_records(table(spark, d, "raw_turn_lines"))[1].select("line_id", F.explode("reasons").alias("reason"))
 
 
 @query

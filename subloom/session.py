@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -26,11 +29,18 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared folder named in ``spark.checkpoint.dir``.
 
-    A folder of our own is set only where the session names none (tests).
+    A folder of our own is set only where a local session names none (tests); it goes with the process. On a cluster it would lie on one machine, so a
+    session without the setting is refused there.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="subloom-ckpt-"))
+        folder = sc.getConf().get("spark.checkpoint.dir", None)
+        if not folder:
+            if not sc.master.startswith("local["):
+                raise ValueError("spark.checkpoint.dir names no shared folder")
+            folder = tempfile.mkdtemp(prefix="subloom-ckpt-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
@@ -38,6 +48,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def joined(rows: DataFrame, other: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """An inner or left join on ``keys`` in which null keys meet."""
+    renamed = other.withColumnsRenamed({k: f"_o{i}" for i, k in enumerate(keys)})
+    met = F.lit(True)
+    for i, k in enumerate(keys):
+        met = met & rows[k].eqNullSafe(renamed[f"_o{i}"])
+    return rows.join(renamed, met, how).drop(*[f"_o{i}" for i in range(len(keys))])
+
+
 def present(c):
     """True where a string is neither null nor blank."""
     return F.coalesce(F.trim(c) != "", F.lit(False))

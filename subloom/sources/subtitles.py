@@ -113,6 +113,21 @@ def srt_cues(df: DataFrame, key: list[str], text: str, strict: bool = True) -> D
     return sound.select(*key, F.explode("_c").alias("c")).select(*key, F.col("c.block_no").alias("ord"), "c.source_index", "c.start_ms", "c.end_ms", "c.text")
 
 
+def srt_lenient(df: DataFrame, key: list[str], text: str) -> DataFrame:
+    """(key…, cue_id, start_seconds, end_seconds, text): the cues of SubRip texts whatever stands before their times, numbered from 1 for each text.
+
+    Of a block the first line with an arrow counts, the lines after it are the text, joined by blanks; a block without such a line is no cue. Times
+    may be hours, minutes and seconds, or fewer parts; a malformed one is null.
+    """
+    kept = F.filter(F.transform(_blocks(F.col(text)), lambda b: F.filter(F.transform(F.split(b, "\n"), T.strip), lambda x: x != "")), lambda rows: F.exists(rows, lambda x: F.contains(x, F.lit("-->"))))
+    at = F.array_position(F.transform("_r", lambda x: F.contains(x, F.lit("-->"))), True).cast("int")
+    each = df.select(*key, F.posexplode(kept).alias("_no", "_r")).withColumn("_at", at)
+    parts = F.transform(F.split(F.element_at("_r", F.col("_at")), "-->"), T.strip)
+    time = lambda i: F.when(F.size(parts) == 2, C.clock_seconds(parts[i]))
+    body = F.array_join(F.slice("_r", F.col("_at") + 1, F.size("_r") - F.col("_at")), " ")
+    return each.select(*key, (F.col("_no") + 1).alias("cue_id"), time(0).alias("start_seconds"), time(1).alias("end_seconds"), body.alias("text"))
+
+
 def ass_cues(df: DataFrame, key: list[str], text: str) -> DataFrame:
     """(key…, line_no, start_ms, end_ms, lines, fault) of the dialogue lines of an ASS text; ``fault``: too few fields."""
     each = df.select(*key, F.posexplode(T.lines(F.col(text))).alias("_no", "_l")).where(F.col("_l").startswith("Dialogue:"))

@@ -50,3 +50,34 @@ def test_settled_clusters(spark):
     far = [("e", i, [0.62, *(1.0 if k == i else 0.0 for k in range(4))], True) for i in range(4)]
     bad = V.settled_clusters(spark.createDataFrame(far, "s string, i int, v array<double>, ok boolean"), "s", "i", "v", "ok", threshold=0.2, least=0.6)
     assert [r["outlier"] for r in bad.collect()] == [True] * 4
+
+
+def test_percentiles_by_counts(spark):
+    rng = np.random.default_rng(9)
+    data = [(k, float(round(x, 6))) for k, n in (("a", 200), ("b", 7), ("c", 1)) for x in rng.normal(size=n)] + [("a", 0.25)] * 50 + [("d", None), (None, -3.5), (None, 4.5)]
+    got = {r["k"]: r for r in V.exact_percentiles(spark.createDataFrame(data, "k string, v double"), ["k"], {"low": ("v", 0.1), "mid": ("v", 0.5), "high": ("v", 0.95)}).collect()}
+    for k in ("a", "b", "c", None):
+        own = [x for key, x in data if key == k and x is not None]
+        for name, share in (("low", 10), ("mid", 50), ("high", 95)):
+            assert abs(got[k][name] - np.percentile(own, share)) < 1e-8
+
+
+def test_what_is_left_of_roles(spark, rows):
+    clips = [("A", 1, "m", "0", "9", None), ("A", 2, "m", "0", "9", None), ("A", 3, "m", "0", "9", "short"), ("A", 4, None, None, None, None), ("A", 5, None, None, None, None)]
+    df = spark.createDataFrame(clips, "role string, n int, path string, a string, z string, why string")
+    got = V.enrolled(df, ["path", "a", "z"], "n", df["why"])
+    assert rows(got, "n", "reject_reason") == [(1, None), (2, "duplicate_interval"), (3, "short"), (4, None), (5, "duplicate_interval")]
+    kept = [("A", "1", 5.0, True), ("A", "2", 5.0, True), ("A", "2", 1.0, True), ("B", "1", 20.0, False), ("C", "", 9.0, True)]
+    out = rows(V.readiness(spark.createDataFrame(kept, "role string, ep string, sec double, kept boolean"), "role", "ep", "sec"), "role", "clips", "issues", "usable")
+    assert out == [("A", 3, [], True), ("B", 0, ["insufficient_total_duration", "insufficient_clips", "insufficient_distinct_episodes"], False), ("C", 1, ["insufficient_clips", "insufficient_distinct_episodes"], False)]
+
+
+def test_halves_and_spectral_groups(spark):
+    rng = np.random.default_rng(10)
+    rows_ = [("x", i, [1.0, 0.0] if i < 2 else [0.6, 0.8]) for i in range(5)] + [("y", 0, [1.0, 0.0]), ("y", 1, [0.0, 1.0]), ("z", 0, None), ("z", 1, [0.0, 0.0])]
+    got = {r["k"]: (r["windows"], r["similarity"]) for r in V.half_similarity(spark.createDataFrame(rows_, "k string, n int, v array<double>"), ["k"], "n", "v").collect()}
+    assert got == {"x": (5, 0.6), "y": (2, None)}
+    groups = [(int(100 * c + i), (np.eye(3)[c] + rng.normal(size=3) * 0.05).tolist(), "s") for c in range(3) for i in range(25)]
+    df = spark.createDataFrame(groups, "i int, v array<double>, s string")
+    label = {r["i"]: r["cluster"] for r in V.spectral(df, "s", "i", "v").collect()}
+    assert [len({label[100 * c + i] for i in range(25)}) for c in range(3)] == [1, 1, 1] and len(set(label.values())) == 3
