@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from subloom.operators.evidence import contained
 from subloom.operators.spans import merged, overlap_ms, overlaps, previous_and_next, subtracted
+from subloom.session import checkpointed
 
 #: The share of the time line above which a stem is too dense, and above which two stems speak at once too often.
 DENSE, TOGETHER = 0.60, 0.10
@@ -107,6 +108,9 @@ def unassigned_activity(activity: DataFrame, cues: DataFrame, keys: list[str], i
     covers = sound.select(*keys, F.greatest(F.col("s") - tolerance, F.lit(0)).alias("s"), (F.col("e") + tolerance).alias("e"))
     free = subtracted(regions, covers, keys, "_region").where(F.col("e") - F.col("s") >= least).drop("_region")
     marks = sound.select(*keys, F.col(ident).alias("id"), "s", "e")
-    before = previous_and_next(free.withColumn("p", F.col("s") + tolerance), marks, keys).select(*keys, "s", "e", F.col("prev_id").alias("previous_cue"))
-    after = previous_and_next(free.withColumn("p", F.col("e") - tolerance), marks, keys).select(*keys, "s", "e", F.col("next_id").alias("next_cue"))
-    return before.join(after, [*keys, "s", "e"])
+    free = checkpointed(free)  # read three times
+    spots = free.select(*keys, F.explode(F.array(F.col("s") + tolerance, F.col("e") - tolerance)).alias("p")).distinct()
+    found = previous_and_next(spots, marks, keys)
+    before = found.select(*keys, (F.col("p") - tolerance).alias("s"), F.col("prev_id").alias("previous_cue"))
+    after = found.select(*keys, (F.col("p") + tolerance).alias("e"), F.col("next_id").alias("next_cue"))
+    return free.join(before, [*keys, "s"]).join(after, [*keys, "e"]).select(*keys, "s", "e", "previous_cue", "next_cue")

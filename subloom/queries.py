@@ -10,7 +10,7 @@ from subloom.operators.islands import periods_and_gaps
 from subloom.operators.malformed import judge_records
 from subloom.session import table
 
-from subloom.plans import activity_queries, cue_queries, evidence_queries, gallery_queries, keyed_queries, review_queries, stream_queries, text_queries  # noqa: E402,F401
+from subloom.plans import activity_queries, cue_queries, evidence_queries, gallery_queries, keyed_queries, review_queries, state_queries, stream_queries, text_queries  # noqa: E402,F401
 from subloom.plans.registry import QUERIES, SQL  # noqa: E402
 
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import io
+import json
+import os
 import re
+import tempfile
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
@@ -12,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subloom.session import require_columns
+from subloom.session import joined, require_columns
 
 
 def read_tsv(spark: SparkSession, path: str, required: tuple[str, ...] = (), optional: tuple[str, ...] = ()) -> DataFrame:
@@ -29,6 +32,46 @@ def write_tsv(df: DataFrame, path: str, fields: list[str]) -> None:
     df.select(*row).write.mode("errorifexists").option("sep", "\t").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
 
 
+def write_json(report: dict, path: str) -> None:
+    """A small report of the driver as JSON, put in place at once: a reader finds the old file or the new one."""
+    folder, name = os.path.split(os.path.abspath(path))
+    os.makedirs(folder, exist_ok=True)
+    handle, made = tempfile.mkstemp(prefix=f".{name}.", dir=folder)
+    try:
+        with os.fdopen(handle, "w", encoding="utf-8") as f:
+            json.dump(report, f, ensure_ascii=False, indent=2)
+        os.replace(made, path)
+    except BaseException:
+        os.unlink(made)
+        raise
+
+
+def write_lines(df: DataFrame, path: str) -> None:
+    """One JSON object a line, nulls written as such; an existing path is an error."""
+    df.write.mode("errorifexists").option("ignoreNullFields", "false").json(path)
+
+
+def write_report(df: DataFrame, path: str, headers: dict[str, str]) -> None:
+    """The columns of ``headers`` in their order, under the names it gives them, as CSV; an existing path is an error."""
+    require_columns(df, *headers)
+    df.select(*[F.col(c).alias(shown) for c, shown in headers.items()]).write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
+
+
+def write_subtitles(texts: DataFrame, key: str, srt: str, path: str) -> None:
+    """The SubRip text of each key in a folder of its own, with a byte order mark; an existing path is an error."""
+    texts.select(F.col(key), F.concat(F.lit("\ufeff"), F.col(srt)).alias("value")).write.mode("errorifexists").partitionBy(key).text(path)
+
+
+def refuse_changes(rows: DataFrame, before: DataFrame, keys: list[str], locked: str, column: str) -> DataFrame:
+    """The rows, or an error with their number if a row that is ``locked`` before has another value of ``column`` now or is gone; run before writing."""
+    held = before.where(F.coalesce(F.col(locked), F.lit(False))).select(*keys, F.col(column).alias("_held"))
+    now = rows.select(*keys, F.struct(F.col(column).alias("v")).alias("_now"))
+    broken = joined(held, now, keys, "left").where(F.col("_now").isNull() | ~F.col("_now.v").eqNullSafe(F.col("_held"))).count()
+    if broken:
+        raise ValueError(f"{broken} locked rows would be changed")
+    return rows
+
+
 def append_new(spark: SparkSession, df: DataFrame, path: str, keys: list[str]) -> DataFrame:
     """Append the rows whose keys ``path`` doesn't hold yet, once per key, and return them as they were to be written.
 
