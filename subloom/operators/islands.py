@@ -33,12 +33,12 @@ def stretches(df: DataFrame, keys: list[str], bridge: int = 0) -> DataFrame:
     rows = rows.withColumn("_n", F.sum(opens.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     own = checkpointed(rows.groupBy(*keys, "_b", "_n").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.max(F.when(opens, F.col("_r"))).alias("_r")).drop("_n"))
     # what earlier blocks reach can only swallow the first stretches of a block
-    own = joined(own, carry_over(own.groupBy(*keys, "_b").agg(F.max("e").alias("_m")), keys), [*keys, "_b"])
-    own = own.withColumn("reach", F.greatest("_r", "_carry")).drop("_r", "_carry")
+    own = joined(own, carry_over(own.groupBy(*keys, "_b").agg(F.max("e").alias("_m0")), keys, ["max"]), [*keys, "_b"])
+    own = own.withColumn("reach", F.greatest("_r", "_carry0")).drop("_r", "_carry0")
     own = own.withColumn("_open", F.col("reach").isNull() | (F.col("s") > F.col("reach") + bridge))
-    opened = own.groupBy(*keys, "_b").agg(F.max(F.when(F.col("_open"), F.col("s"))).alias("_m"))
-    own = joined(own, carry_over(opened, keys), [*keys, "_b"])
-    own = own.withColumn("_i", F.when(F.col("_open"), F.col("s")).otherwise(F.col("_carry")))
+    opened = own.groupBy(*keys, "_b").agg(F.max(F.when(F.col("_open"), F.col("s"))).alias("_m0"))
+    own = joined(own, carry_over(opened, keys, ["max"]), [*keys, "_b"])
+    own = own.withColumn("_i", F.when(F.col("_open"), F.col("s")).otherwise(F.col("_carry0")))
     whole = own.groupBy(*keys, "_i").agg(F.max("e").alias("e"), F.max(F.when(F.col("_open"), F.col("reach"))).alias("reach"))
     return whole.select(*keys, F.col("_i").alias("s"), "e", "reach")
 

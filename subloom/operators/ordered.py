@@ -21,17 +21,26 @@ BLOCK = 4096
 
 
 def carried(df: DataFrame, keys: list[str], pos: str, val: Column, out: str, how: str = "max", bits: int = BITS) -> DataFrame:
-    """Add ``out``: the max, min or sum of ``val`` over the rows of the same ``keys`` with a smaller ``pos``.
+    """Add ``out``: the max, min or sum of ``val`` over the rows of the same ``keys`` with a smaller ``pos``; see :func:`carried_together`."""
+    return carried_together(df, keys, pos, {out: (val, how)}, bits)
 
-    ``pos`` is a BIGINT or INT that occurs once per key; ``val`` may be null (ignored) or a struct (max, min).
-    ``out`` is null where no smaller position has a value. A null key is a key like any other; rows without a position have no place in
+
+def carried_together(df: DataFrame, keys: list[str], pos: str, wanted: dict[str, tuple[Column, str]], bits: int = BITS) -> DataFrame:
+    """Add for each name in ``wanted`` the max, min or sum (value, how) over the rows of the same ``keys`` with a smaller ``pos``.
+
+    ``pos`` is a BIGINT or INT that occurs once per key; a value may be null (ignored) or a struct (max, min).
+    The result is null where no smaller position has a value. A null key is a key like any other; rows without a position have no place in
     the order and are left out. ``bits``: the width of a block. The blocks' values, one row each, are written once.
     """
-    base = df.where(F.col(pos).isNotNull()).withColumn("_val", val).withColumn("_b", F.shiftright(F.col(pos).cast("bigint"), bits))
-    fold, put = _folds(how)
+    base = df.where(F.col(pos).isNotNull()).withColumn("_b", F.shiftright(F.col(pos).cast("bigint"), bits))
+    base = base.withColumns({f"_val{i}": val for i, (val, _) in enumerate(wanted.values())})
+    hows = [how for _, how in wanted.values()]
     w = Window.partitionBy(*keys, "_b").orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
-    rows = joined(base.withColumn("_in", fold("_val").over(w)), carry_over(base.groupBy(*keys, "_b").agg(fold("_val").alias("_m")), keys, how), [*keys, "_b"])
-    return rows.withColumn(out, put("_in", "_carry")).drop("_val", "_in", "_carry", "_b")
+    rows = base.withColumns({f"_in{i}": _folds(how)[0](f"_val{i}").over(w) for i, how in enumerate(hows)})
+    blocks = base.groupBy(*keys, "_b").agg(*[_folds(how)[0](f"_val{i}").alias(f"_m{i}") for i, how in enumerate(hows)])
+    rows = joined(rows, carry_over(blocks, keys, hows), [*keys, "_b"])
+    made = rows.withColumns({out: _folds(how)[1](f"_in{i}", f"_carry{i}") for i, (out, how) in enumerate(zip(wanted, hows))})
+    return made.drop("_b", *[f"{x}{i}" for i in range(len(hows)) for x in ("_val", "_in", "_carry")])
 
 
 def _folds(how: str):
@@ -42,25 +51,24 @@ def _folds(how: str):
     return {"max": F.max, "min": F.min}[how], lambda a, b: F.when(F.col(b).isNull() | sign(F.col(a), F.col(b)), F.col(a)).otherwise(F.col(b))
 
 
-def carry_over(blocks: DataFrame, keys: list[str], how: str = "max") -> DataFrame:
-    """(keys…, _b, _carry) from (keys…, _b, _m), one row per block: the fold of all blocks of the key before each one."""
-    fold, put = _folds(how)
+def carry_over(blocks: DataFrame, keys: list[str], hows: list[str]) -> DataFrame:
+    """(keys…, _b, _carry0, …) from (keys…, _b, _m0, …), one row per block: the folds of all blocks of the key before each one."""
     blocks = checkpointed(blocks)
     before = (Window.unboundedPreceding, -1)
+    ahead = lambda w, out: [_folds(how)[0](f"_m{i}").over(w).alias(f"{out}{i}") for i, how in enumerate(hows)]
     if blocks.count() <= FEW_BLOCKS:
-        line = Window.partitionBy(*keys).orderBy("_b").rowsBetween(*before)
-        return F.broadcast(blocks.select(*keys, "_b", fold("_m").over(line).alias("_carry")))
+        return F.broadcast(blocks.select(*keys, "_b", *ahead(Window.partitionBy(*keys).orderBy("_b").rowsBetween(*before), "_carry")))
     # level by level, so that no key's blocks come together
     sums = [blocks.withColumnRenamed("_b", "_b0")]
     for level in (1, 2):
         sums[-1] = sums[-1].withColumn(f"_b{level}", F.shiftright(f"_b{level - 1}", STEP))
-        sums.append(sums[-1].groupBy(*keys, f"_b{level}").agg(fold("_m").alias("_m")))
-    top = Window.partitionBy(*keys).orderBy("_b2").rowsBetween(*before)
-    carry = sums[2].select(*keys, "_b2", fold("_m").over(top).alias("_carry"))
+        sums.append(sums[-1].groupBy(*keys, f"_b{level}").agg(*[_folds(how)[0](f"_m{i}").alias(f"_m{i}") for i, how in enumerate(hows)]))
+    carry = sums[2].select(*keys, "_b2", *ahead(Window.partitionBy(*keys).orderBy("_b2").rowsBetween(*before), "_carry"))
     for level in (1, 0):
         w = Window.partitionBy(*keys, f"_b{level + 1}").orderBy(f"_b{level}").rowsBetween(*before)
-        inner = sums[level].withColumn("_in", fold("_m").over(w))
-        carry = joined(inner, carry, [*keys, f"_b{level + 1}"]).select(*keys, f"_b{level}", put("_in", "_carry").alias("_carry"))
+        inner = sums[level].select("*", *ahead(w, "_in"))
+        put = [_folds(how)[1](f"_in{i}", f"_carry{i}").alias(f"_carry{i}") for i, how in enumerate(hows)]
+        carry = joined(inner, carry, [*keys, f"_b{level + 1}"]).select(*keys, f"_b{level}", *put)
     return carry.withColumnRenamed("_b0", "_b")
 
 

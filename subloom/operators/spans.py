@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subloom.operators.islands import stretches
-from subloom.operators.ordered import carried, previous
+from subloom.operators.ordered import carried, carried_together
+from subloom.session import joined
 
 #: Width of a cell of the time line in milliseconds.
 CELL = 10_000
@@ -52,16 +53,17 @@ def merged(df: DataFrame, keys: list[str], bridge: int = 0, least: int = 0) -> D
 
 
 def subtracted(regions: DataFrame, covers: DataFrame, keys: list[str], region: str, cell: int = CELL) -> DataFrame:
-    """(keys…, region, s, e): what of each region (keys, region, s, e) no cover (keys, s, e) covers."""
-    whole = merged(covers, keys).withColumnsRenamed({"s": "rs", "e": "re"})
-    cut = overlaps(regions, whole, keys, cell).select(*keys, region, "s", "e", F.greatest("s", "rs").alias("cs"), F.least("e", "re").alias("ce"))
-    # a region's covers are disjoint: what lies between one and the next is free
+    """(keys…, region, s, e): what of each region (keys, region, s, e) no cover (keys, s, e) covers. A region stands once for its key.
+
+    Merged covers know the end of the one before, so what is free before a cover follows from the pair, and what is free after the last one from its end.
+    """
+    whole = stretches(covers.where("e > s"), keys).withColumnsRenamed({"s": "rs", "e": "re"})
     ids = [*keys, region]
-    inner = previous(cut, ids, "cs", ["ce", "s", "e"], "_p")
-    between = inner.select(*ids, F.coalesce("_p.ce", F.col("s")).alias("s"), F.col("cs").alias("e"))
-    tail = cut.groupBy(*ids).agg(F.max("ce").alias("s"), F.max("e").alias("e"))
-    untouched = regions.join(cut.select(*ids).distinct(), ids, "left_anti").select(*ids, "s", "e")
-    return between.unionByName(tail).unionByName(untouched).where("e > s")
+    met = overlaps(regions.select(*ids, "s", "e"), whole, keys, cell)
+    before = met.select(*ids, F.greatest("s", "reach").alias("s"), F.col("rs").alias("e"))  # the greatest leaves out a null
+    last = met.groupBy(*ids).agg(F.max("re").alias("_re"))
+    after = joined(regions.select(*ids, "s", "e"), last, ids, "left").select(*ids, F.coalesce("_re", "s").alias("s"), "e")
+    return before.unionByName(after).where("e > s")
 
 
 def previous_and_next(points: DataFrame, intervals: DataFrame, keys: list[str]) -> DataFrame:
@@ -108,7 +110,7 @@ def depth(df: DataFrame, keys: list[str]) -> DataFrame:
     """(keys…, s, e, depth): the stretches between consecutive bounds of intervals (keys, s, e) and how many cover each; zero depth left out."""
     ends = df.where("e > s").select(*keys, F.explode(F.array(F.struct(F.col("s").alias("at"), F.lit(1).alias("d")), F.struct(F.col("e").alias("at"), F.lit(-1).alias("d")))).alias("x"))
     steps = ends.groupBy(*keys, "x.at").agg(F.sum("x.d").cast("bigint").alias("d"))
-    line = carried(carried(steps, keys, "at", F.col("d"), "depth", "sum"), keys, "at", F.col("at"), "s")
+    line = carried_together(steps, keys, "at", {"depth": (F.col("d"), "sum"), "s": (F.col("at"), "max")})
     return line.where("depth > 0").select(*keys, "s", F.col("at").alias("e"), "depth")
 
 
