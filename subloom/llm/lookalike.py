@@ -30,6 +30,9 @@ LETTERS = (
     ("ρ", "p"),
     ("ɑɡıȷʋ", "agijv"),
     ("ᎪᏴᎬᎻᎫᏦᎷᎢᏃᏟᎠ", "ABEHJKMTZCD"),
+    ("ᏀᏞᏢᏒᏚᏙᎳᎥᎩ", "GLPRSVWiy"),
+    ("ՕՍՏօոսհց", "OUSonuhg"),
+    ("ⲀⲂⲎⲒⲔⲘⲚⲞⲢⲤⲦⲨⲬⲌⲟⲣⲥ", "ABHIKMNOPCTYXZopc"),
 )
 #: Characters of East Asian scripts with the shape of a katakana letter or another sign, then that sign.
 SIGNS = (
@@ -121,8 +124,7 @@ def visual_form(df: DataFrame, columns: list[str], suffix: str = "_form") -> Dat
             texts = pa.table({f"c{i}": batch.column(c).cast(pa.string()) for i, c in enumerate(columns)})
             texts = texts.append_column("n", pa.array(range(batch.num_rows), pa.int64()))
             con.register("texts", texts)
-            answer = con.execute(f"SELECT {exprs} FROM texts ORDER BY n")
-            forms = answer.to_arrow_table() if hasattr(answer, "to_arrow_table") else answer.fetch_arrow_table()
+            forms = con.sql(f"SELECT {exprs} FROM texts ORDER BY n").to_arrow_table()
             con.unregister("texts")
             made = [forms.column(i).combine_chunks().cast(pa.string()) for i in range(len(columns))]
             made = [x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in made]
