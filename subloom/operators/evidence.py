@@ -16,7 +16,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from subloom.functions import texts as T
 from subloom.operators.dialogue import labelled
 from subloom.operators.ordered import carried, numbered
-from subloom.operators.schedules import _per_key
+from subloom.operators.schedules import per_key
 from subloom.operators.spans import merged, overlap_ms, overlaps
 
 #: Signs that aren't spoken.
@@ -86,22 +86,25 @@ def single_speaker(df: DataFrame, keys: list[str], pos: str, start: str, end: st
     rows = carried(rows, keys, pos, F.col("e"), "_reach")
     rows = labelled(rows, keys, pos, F.col("_reach").isNull() | (F.col("s") > F.col("_reach")), "_part").drop("_reach")
 
-    def fold(state, row):
-        emit = lambda x: [{**x["k"], "s": x["s"], "e": x["e"], "l": x["l"]}]
+    n = len(keys)
+
+    def fold(state, key, row):
         if row is None:
-            return None, emit(state) if state else []
-        new = {"k": {k: row[k] for k in keys}, "s": row["s"], "e": row["e"], "l": row["l"]}
+            return None, [(*key[:n], *state)]
+        _, s, e, own = row
         if state is None:
-            return new, []
-        if row["s"] <= state["e"] and row["l"] == state["l"]:
-            return {**state, "e": max(state["e"], row["e"])}, []
-        if row["s"] > state["e"]:
-            return new, emit(state)
-        middle = (row["s"] + state["e"]) // 2
-        return {**new, "s": middle}, emit({**state, "e": middle})
+            return (s, e, own), []
+        begin, reach, other = state
+        if s > reach:
+            return (s, e, own), [(*key[:n], *state)]
+        if own == other:
+            return (begin, max(reach, e), own), []
+        middle = (s + reach) // 2
+        return (middle, e, own), [(*key[:n], begin, middle, other)]
 
     types = dict(df.dtypes)
-    out = _per_key(rows, [*keys, "_part"], [pos], fold, ", ".join(f"{k} {types[k]}" for k in keys) + f", s bigint, e bigint, l {types[label]}")
+    rows = rows.select(*keys, "_part", pos, "s", "e", "l")
+    out = per_key(rows, [*keys, "_part"], [pos], fold, ", ".join(f"{k} {types[k]}" for k in keys) + f", s bigint, e bigint, l {types[label]}")
     return out.select(*keys, (F.col("s") / 2).alias("s"), (F.col("e") / 2).alias("e"), F.col("l").alias(label))
 
 

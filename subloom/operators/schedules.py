@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from subloom.operators.dialogue import labelled
 from subloom.operators.ordered import carried, numbered
@@ -46,27 +48,36 @@ def separated(df: DataFrame, keys: list[str], pos: str, start: str, end: str, le
     return rows.withColumn("new_end", F.least(lasting, F.coalesce(F.col("_next.new_start") - gap, lasting))).select(*df.columns, "new_start", "new_end")
 
 
-def _per_key(df: DataFrame, keys: list[str], order: list[str], fold, schema: str) -> DataFrame:
-    """A fold over the sorted rows of each key, fed batch by batch: a task holds one batch and the fold's state, not a whole key."""
-    rows = df.repartition(*keys).sortWithinPartitions(*keys, *order)
+def per_key(df: DataFrame, keys: list[str], order: list[str], fold, schema: str) -> DataFrame:
+    """A fold over the sorted rows of each key, fed batch by batch: a task holds one batch and the fold's state, not a whole key.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    ``fold`` gets the state (None at first), the key and the row's other columns, or None after the last row, and returns the new state and the rows to emit, all as tuples.
+    """
+    others = [c for c in df.columns if c not in keys]
+    rows = df.select(*keys, *others).repartition(*keys).sortWithinPartitions(*keys, *order)
+    width, out_schema = len(keys), to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def made(out: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*out) if out else [()] * len(out_schema)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out_schema)], names=out_schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, state = None, None
         for batch in batches:
-            out = []
-            for row in batch.to_dict("records"):
-                key = tuple(row[k] for k in keys)
+            out: list[tuple] = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                key = row[:width]
                 if key != now:
                     if state is not None:
-                        out += fold(state, None)[1]
+                        out += fold(state, now, None)[1]
                     now, state = key, None
-                state, made = fold(state, row)
-                out += made
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
+                state, more = fold(state, key, row[width:])
+                out += more
+            yield made(out)
         if state is not None:
-            yield pd.DataFrame(fold(state, None)[1], columns=[c.split()[0] for c in schema.split(", ")])
+            yield made(fold(state, now, None)[1])
 
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def pushed_with_escape(df: DataFrame, keys: list[str], pos: str, target: str, length: str, hard: str, gap: int = GAP_MS, most: int = ABORT_MS) -> DataFrame:
@@ -79,19 +90,20 @@ def pushed_with_escape(df: DataFrame, keys: list[str], pos: str, target: str, le
     rows = pushed(df.select(*keys, pos, target, length, hard), keys, pos, target, length, None, gap)
     rows = labelled(rows, keys, pos, F.col("delay") == 0, "_chain")
 
-    def fold(state, row):
+    n = len(keys)
+
+    def fold(reached, key, row):
         if row is None:
             return None, []
-        reached = state or 0
-        start = max(row["t"], reached + gap)
-        late = start - row["t"]
-        manual = bool(late > most or (row["h"] and late > 0))
-        made = [{**{k: row[k] for k in keys}, pos: row[pos], "start": row["t"] if manual else start, "manual": manual}]
-        return (reached if manual else max(reached, start + row["d"])), made
+        place, at, size, fixed = row
+        start = max(at, (reached or 0) + gap)
+        if start - at > most or (fixed and start > at):
+            return reached or 0, [(*key[:n], place, at, True)]
+        return max(reached or 0, start + size), [(*key[:n], place, start, False)]
 
     rows = rows.select(*keys, "_chain", pos, F.coalesce(target, F.lit(0)).cast("bigint").alias("t"), F.coalesce(length, F.lit(0)).cast("bigint").alias("d"), F.coalesce(hard, F.lit(False)).alias("h"))
     types = dict(df.dtypes)
-    return _per_key(rows, [*keys, "_chain"], [pos], fold, ", ".join(f"{c} {types[c]}" for c in [*keys, pos]) + ", start bigint, manual boolean")
+    return per_key(rows, [*keys, "_chain"], [pos], fold, ", ".join(f"{c} {types[c]}" for c in [*keys, pos]) + ", start bigint, manual boolean")
 
 
 def chunks(df: DataFrame, keys: list[str], pos: str, start: str, end: str, soft: int = 12_000, pause: int = 500, hard: int = 25_000, margin: int = 2_000) -> DataFrame:
@@ -100,25 +112,22 @@ def chunks(df: DataFrame, keys: list[str], pos: str, start: str, end: str, soft:
     A pause of ``hard`` always cuts, so the rows are folded from one such pause to the next.
     """
 
-    def close(state):
-        return [{**state["k"], "chunk_start": max(0, state["s"] - margin), "chunk_end": state["e"] + margin, "n": state["n"]}]
+    n = len(keys)
 
-    def fold(state, row):
+    def fold(state, key, row):
+        close = lambda x: [(*key[:n], max(0, x[0] - margin), x[1] + margin, x[2])]
         if row is None:
-            return None, close(state) if state else []
-        out = []
-        if state is not None:
-            long = state["e"] - state["s"]
-            if (long >= soft and row["s"] - state["e"] >= pause) or row["e"] - state["s"] >= hard:
-                out, state = close(state), None
+            return None, close(state)
+        _, s, e = row
         if state is None:
-            state = {"k": {k: row[k] for k in keys}, "s": row["s"], "e": row["e"], "n": 0}
-        state["e"] = max(state["e"], row["e"])
-        state["n"] += 1
-        return state, out
+            return (s, e, 1), []
+        begin, reach, count = state
+        if (reach - begin >= soft and s - reach >= pause) or e - begin >= hard:
+            return (s, e, 1), close(state)
+        return (begin, max(reach, e), count + 1), []
 
     rows = df.select(*keys, pos, F.col(start).cast("bigint").alias("s"), F.col(end).cast("bigint").alias("e")).where("e > s")
     rows = carried(rows, keys, pos, F.col("e"), "_reach")
     rows = labelled(rows, keys, pos, F.col("_reach").isNull() | (F.col("s") - F.col("_reach") >= hard), "_part").drop("_reach")
     types = dict(df.dtypes)
-    return _per_key(rows, [*keys, "_part"], [pos], fold, ", ".join(f"{c} {types[c]}" for c in keys) + ", chunk_start bigint, chunk_end bigint, n bigint")
+    return per_key(rows.select(*keys, "_part", pos, "s", "e"), [*keys, "_part"], [pos], fold, ", ".join(f"{c} {types[c]}" for c in keys) + ", chunk_start bigint, chunk_end bigint, n bigint")
