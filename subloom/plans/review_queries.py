@@ -92,7 +92,13 @@ def _votes(spark: SparkSession, d: str) -> DataFrame:
     return R.vote_consistency(votes, ["ens_id", "episode"], "ensemble_status", "ensemble_candidate", "expected_role", "flag", ["consensus_all", "consensus_most"], ["model_disagreement"], ["insufficient_models", ""])
 
 
-@query()
+@query("""
+WITH v AS (SELECT ens_id, episode, coalesce(trim(ensemble_status), '') AS s, coalesce(trim(ensemble_candidate), '') AS c, coalesce(trim(expected_role), '') AS r, coalesce(failed_models_json <> '{}', false) AS up FROM voice_ensemble),
+k AS (SELECT *, s IN ('consensus_all', 'consensus_most') AS f, s = 'model_disagreement' AS h, s IN ('consensus_all', 'consensus_most', 'model_disagreement', 'insufficient_models', '') AS ok, r <> '' AND c <> r AS apart FROM v)
+SELECT ens_id, episode, unnest(list_filter([CASE WHEN NOT ok THEN 'invalid_status' END, CASE WHEN f AND c = '' THEN 'missing_candidate' END, CASE WHEN f AND c <> '' AND apart AND NOT up THEN 'conflict_flag_missing' END,
+  CASE WHEN f AND c <> '' AND NOT apart AND up THEN 'stale_conflict_flag' END, CASE WHEN h AND c = '' THEN 'advisory_missing_candidate' END, CASE WHEN h AND up THEN 'weak_vote_must_not_flag' END,
+  CASE WHEN ok AND NOT f AND NOT h AND c <> '' THEN 'ineligible_has_candidate' END], lambda x: x IS NOT NULL)) AS issue FROM k
+""")
 def q_vote_consistency(spark: SparkSession, d: str) -> DataFrame:
     return _votes(spark, d)
 

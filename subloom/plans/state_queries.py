@@ -41,7 +41,10 @@ def q_cue_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 
-@query()
+@query(CUES + """, a AS (SELECT episode, list(coalesce('=' || text, '') ORDER BY source_index) AS d FROM cues GROUP BY 1),
+b AS (SELECT episode, list(coalesce('=' || "台詞", '') ORDER BY source_index) AS d FROM (SELECT *, row_number() OVER (PARTITION BY episode, source_index ORDER BY script_row_id) AS n FROM script_rows) WHERE n = 1 GROUP BY 1)
+SELECT coalesce(a.episode, b.episode) AS episode, CASE WHEN a.d IS NULL THEN 'gone' WHEN b.d IS NULL THEN 'new' WHEN a.d = b.d THEN 'fresh' ELSE 'stale' END AS state FROM a FULL JOIN b ON a.episode = b.episode
+""")
 def q_staleness(spark: SparkSession, d: str) -> DataFrame:
     from subloom.operators.keyed import first_rows
 
@@ -117,3 +120,57 @@ round(20 * log10(greatest(confidence, 1e-12)), 6) AS level FROM cue_labels
 """)
 def q_flags_and_levels(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "cue_labels").select("cue_id", T.truth(F.col("status")).alias("truth"), T.episode_numbers(F.col("source_index").cast("string")).alias("episodes"), F.round(T.dbfs(F.col("confidence")), 6).alias("level"))
+
+
+@query("""
+WITH m AS (SELECT user_id, event_type, avg(value - 50) AS m FROM events WHERE value IS NOT NULL AND event_type IS NOT NULL GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY m DESC, event_type) AS k, count(*) FILTER (m >= 0) OVER (PARTITION BY user_id) AS p FROM m),
+n AS (SELECT role_id, role FROM role_catalog), e AS (SELECT DISTINCT event_type FROM events), t AS (SELECT event_type, min(role) AS mapped_role FROM e JOIN n ON role_id % 7 = length(event_type) % 7 GROUP BY 1)
+SELECT user_id, r.event_type, mapped_role, CASE WHEN p = 1 THEN mapped_role END AS track_role FROM r LEFT JOIN t ON r.event_type = t.event_type WHERE k = 1
+""")
+def q_mapped_tracks(spark: SparkSession, d: str) -> DataFrame:
+    events = table(spark, d, "events")
+    tracks = S.top_tracks(events.select("user_id", "event_type", (F.col("value") - 50).alias("score")), ["user_id"], "event_type", "score")
+    names = table(spark, d, "role_catalog").select((F.col("role_id") % 7).alias("n"), "role")
+    roles = events.select("event_type", (F.length("event_type") % 7).alias("n")).distinct().join(F.broadcast(names), "n").select("event_type", "role")  # a fixed table
+    return S.mapped_tracks(tracks, "event_type", "state", roles).select("user_id", "event_type", "mapped_role", "track_role")
+
+
+@query("""
+WITH p AS (SELECT list_filter(string_split(frame, '/'), lambda x: x <> '') AS p FROM cue_labels WHERE frame IS NOT NULL), q AS (SELECT p, len(p) - 1 AS k FROM p WHERE len(list_filter(p, lambda x: starts_with(x, '.'))) = 0 AND lower(p[-1]) LIKE '%.jpg' AND len(p) > 1),
+e AS (SELECT p, unnest(range(greatest(1, k - 2), k + 1)) AS k FROM q) SELECT array_to_string(p[:k], '/') AS folder, 'image' AS kind, count(*) AS n FROM e GROUP BY 1
+""")
+def q_counts_by_suffix(spark: SparkSession, d: str) -> DataFrame:
+    return S.counts_by_suffix(table(spark, d, "cue_labels"), "frame", {"image": (".jpg", ".jpeg", ".png")})
+
+
+@query(r"""
+WITH f AS (SELECT DISTINCT file_name FROM raw_turn_lines WHERE file_name IS NOT NULL), e AS (SELECT DISTINCT episode FROM cue_labels WHERE TRY_CAST(episode AS INTEGER) IS NOT NULL),
+n AS (SELECT file_name, unnest(list_distinct(regexp_extract_all(file_name || ' ', '(?:^|[\s_\[(-]|ep|EP)0?([0-9]{1,9})[^0-9]', 1))) AS x FROM f)
+SELECT DISTINCT file_name, episode FROM n JOIN e ON TRY_CAST(x AS INTEGER) = TRY_CAST(episode AS INTEGER)
+""")
+def q_files_of_episodes(spark: SparkSession, d: str) -> DataFrame:
+    return S.files_of_episodes(table(spark, d, "raw_turn_lines").select("file_name"), "file_name", table(spark, d, "cue_labels"), "episode")
+
+
+@query("""
+WITH l AS (SELECT ens_id, list_filter(list_transform(string_split(coalesce(source_indices, ''), ','), lambda x: trim(x)), lambda x: x <> '') AS f FROM voice_ensemble),
+n AS (SELECT ens_id, CAST(len(f) AS INTEGER) AS frames, CAST(greatest(2 - len(list_distinct(f)), 0) AS INTEGER) AS missing, len(f) > len(list_distinct(f)) AS duplicate FROM l)
+SELECT * FROM n WHERE frames <> 2 OR duplicate
+""")
+def q_frame_gaps(spark: SparkSession, d: str) -> DataFrame:
+    return S.frame_gaps(table(spark, d, "voice_ensemble"), ["ens_id"], "source_indices", 2)
+
+
+@query(CUES + """, n AS (SELECT episode, anonymous_speaker, source_index, row_number() OVER (PARTITION BY episode, anonymous_speaker ORDER BY source_index) AS n FROM cues)
+SELECT episode, anonymous_speaker, list(source_index ORDER BY source_index) FILTER (n <= 12) AS "first", count(*) AS rows FROM n GROUP BY 1, 2""")
+def q_leading(spark: SparkSession, d: str) -> DataFrame:
+    out = S.leading(cues(spark, d), ["episode", "anonymous_speaker"], "source_index", ["source_index"], 12)
+    return out.withColumn("first", F.transform("first", lambda x: x["source_index"]))
+
+
+@query(CUES + """, e AS (SELECT episode, source_index, lag(source_index) OVER (PARTITION BY episode ORDER BY source_index) AS p, text FROM cues)
+SELECT episode, count(*) AS entries, min(source_index) AS first_index, max(source_index) AS last_index, count(*) FILTER (source_index <> p + 1) AS breaks, count(*) FILTER (trim(coalesce(text, '')) = '') AS empty,
+CASE WHEN count(*) FILTER (trim(coalesce(text, '')) = '') > 0 THEN 'review' ELSE 'ok' END AS state FROM e GROUP BY 1""")
+def q_inspected(spark: SparkSession, d: str) -> DataFrame:
+    return S.inspected(cues(spark, d), ["episode"], "source_index", "text")

@@ -62,3 +62,26 @@ def test_sinks(spark, rows, tmp_path):
         B.refuse_changes(df.where("n = 2"), df, ["e", "n"], "locked", "r")
     with pytest.raises(ValueError):
         B.refuse_changes(df.withColumn("r", F.lit("B")), df, ["e", "n"], "locked", "r")
+
+
+def test_files_frames_suffixes_and_leading_rows(spark, rows):
+    files = spark.createDataFrame([("1.srt",), ("show_01.srt",), ("ep12 (1).srt",), ("x111.srt",), ("a1.srt",), (None,)], "f string")
+    episodes = spark.createDataFrame([("0001",), ("12",), ("x",), (None,)], "e string")
+    assert rows(S.files_of_episodes(files, "f", episodes, "e")) == [("1.srt", "0001"), ("ep12 (1).srt", "0001"), ("ep12 (1).srt", "12"), ("show_01.srt", "0001")]
+    frames = spark.createDataFrame([(1, "a, b"), (2, "a,a"), (3, " "), (4, None), (5, "a,b,c")], "i int, f string")
+    assert rows(S.frame_gaps(frames, ["i"], "f", 2)) == [(2, 2, 1, True), (3, 0, 2, False), (4, 0, 2, False), (5, 3, 0, False)]
+    paths = spark.createDataFrame([("/a/b/c/d/x.MP4",), ("a/y.srt",), ("a/.z/q.srt",), ("r.srt",), (None,)], "p string")
+    assert rows(S.counts_by_suffix(paths, "p", {"video": (".mp4",), "subtitle": (".srt", ".ass")})) == [("a", "subtitle", 1), ("a/b", "video", 1), ("a/b/c", "video", 1), ("a/b/c/d", "video", 1)]
+    df = spark.createDataFrame([("k", i * 3_000_000, f"t{i}") for i in range(6)] + [(None, 1, None)], "k string, n bigint, t string")
+    got = {r["k"]: ([x["t"] for x in r["first"]], r["rows"]) for r in S.leading(df, ["k"], "n", ["t"], 4).collect()}
+    assert got == {"k": (["t0", "t1", "t2", "t3"], 6), None: ([None], 1)}
+    cues = spark.createDataFrame([("k", 1, "a"), ("k", 2, " "), ("k", 5, "b"), ("m", 3, "c")], "k string, n int, t string")
+    assert rows(S.inspected(cues, ["k"], "n", "t")) == [("k", 3, 1, 5, 1, 1, "review"), ("m", 1, 3, 3, 0, 0, "ok")]
+
+
+def test_states_of_scores_and_tracks(spark, rows):
+    ranked = spark.createDataFrame([(1, "A", 0.9, 0.2, 3.0), (2, "A", 0.5, 0.2, 3.0), (3, "A", 0.9, 0.05, 3.0), (4, "B", 0.1, None, 3.0), (5, "A", 0.9, 0.2, 0.5), (6, "A", None, None, None)], "i int, candidate string, similarity double, margin double, sec double")
+    gates = spark.createDataFrame([("A", 0.6, 0.1)], "r string, similarity_threshold double, margin_threshold double")
+    assert rows(S.score_states(ranked, gates, "r", "sec"), "i", "state") == [(1, "eligible"), (2, "low_similarity"), (3, "ambiguous"), (4, "eligible"), (5, "too_short"), (6, "too_short")]
+    tracks = spark.createDataFrame([("t", "single_positive_track"), ("t", "several_positive_tracks"), ("u", "single_positive_track")], "t string, s string")
+    assert rows(S.mapped_tracks(tracks, "t", "s", spark.createDataFrame([("t", "B"), ("t", "A")], "t string, r string")), "t", "mapped_role", "track_role") == [("t", "A", "A"), ("t", "A", None), ("u", None, None)]
