@@ -200,7 +200,7 @@ def consensus(df: DataFrame, key: str, votes: Column, held_pairs: int = HELD_PAI
     sound = F.filter(F.coalesce(votes, F.array()), lambda v: v["model"].isNotNull() & v["label"].isNotNull())
     ordered = F.array_sort(F.transform(sound, lambda v: F.struct(v["label"].alias("label"), v["model"].alias("model"))))
     hashed = F.transform("_o", lambda v: F.struct(F.xxhash64(v["model"]).alias("m"), F.xxhash64(v["label"]).alias("l"), F.xxhash64(v["model"], v["label"]).alias("p")))
-    rows = df.select(F.col(key).alias("_key"), ordered.alias("_o")).withColumn("votes", hashed)
+    rows = checkpointed(df.select(F.col(key).alias("_key"), ordered.alias("_o")).withColumn("votes", hashed))  # the votes are taken out of their column once
     taught = rows.where(F.size("votes") >= 2)
     patterns = checkpointed(taught.groupBy(F.col("votes")).agg(F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id()))
     each = taught.select(F.explode(F.arrays_zip("_o", "votes")).alias("z")).select("z._o.model", "z.votes.m", "z.votes.p", "z.votes.l")
