@@ -53,3 +53,13 @@ def test_block_sizes_are_learned_from_the_lengths(spark):
     near = lambda n: set(C.at_limits(n, n, "x", (None, None, 512)))
     assert near(1024) == near(1021) == near(1026) != near(1027) == near(700)
     assert C.at_limits(1024, 1024, "x", (None, None, None)) == []
+
+
+def test_limits_joined_by_an_exchange_give_the_same(spark, monkeypatch):
+    rng = random.Random(19)
+    rows = [(i, t[:90] if i % 3 else t, f"s{i % 4}") for i, t in enumerate(texts(rng, 400, lambda r: r.randrange(60, 300)))] + [(900, None, None), (901, "", "s1")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    want = {r["doc_id"]: r["p_cut"] for r in C.scored(df, "doc_id", "text", "source").collect()}
+    monkeypatch.setattr(C, "HELD_SOURCES", 0)
+    got = {r["doc_id"]: r["p_cut"] for r in C.scored(df, "doc_id", "text", "source").collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
