@@ -1,11 +1,11 @@
 """Text that was decoded with the wrong encoding: found and restored through a hidden Markov model.
 
 The model has one clean state and one state per encoding pair. A state emits characters given the character
-before; its counts come from a sample of the corpus itself: the clean state counts the texts as they are, the state of a pair
+before; its counts come from the whole corpus itself: the clean state counts the texts as they are, the state of a pair
 counts the same texts after the pair's damage. Counts are kept in tables of a fixed size (exact for single
 characters of the basic plane, hashed for pairs of characters), so what is broadcast doesn't grow with the data.
 A first model looks at single characters only: given the character before, damage that is in the corpus would
-explain itself. Texts that it restores or that hold a lost character are left out when the next one is counted.
+explain itself. Texts that it restores or that hold a lost character are left out of the next one: their counts are subtracted.
 """
 
 from __future__ import annotations
@@ -70,8 +70,8 @@ BARE = 6
 LOST = "�"
 TRACES = (LOST, *(chr(c) for c in range(0x80, 0xA0) if c != 0x85))
 ROWS = 2048
-#: Texts that the model is fitted on, drawn by their hashes, and the tasks that count them, each of which returns no more than the tables' slots. Every text is judged.
-SAMPLE, COUNTERS = 100_000, 8
+#: At most so many tasks count, each of which returns no more than the tables' slots.
+COUNTERS = 256
 
 
 @lru_cache
@@ -140,31 +140,40 @@ def _double(before: np.ndarray, now: np.ndarray) -> np.ndarray:
 
 
 def _count(texts: list[str]) -> np.ndarray:
-    """Counts of the states over some texts: [STATES, SINGLE + DOUBLE]."""
+    """Counts of the states over some texts: [STATES, SINGLE + DOUBLE]. Each text counts by itself, so counts of parts add up to that of the whole."""
     out = np.zeros((STATES, SINGLE + DOUBLE), np.int64)
 
-    def add(state: int, text: str) -> None:
+    def add(state: int, text: str, times: int = 1) -> None:
         c = _codes("\n" + text)
-        out[state, :SINGLE] += np.bincount(c[1:], minlength=SINGLE)
-        out[state, SINGLE:] += np.bincount(_double(c[:-1], c[1:]), minlength=DOUBLE)
-
-    add(0, "\n".join(texts))
+        out[state, :SINGLE] += times * np.bincount(c[1:], minlength=SINGLE)
+        out[state, SINGLE:] += times * np.bincount(_double(c[:-1], c[1:]), minlength=DOUBLE)
+
+    def hurt(state: int, lines: list[bytes], times: int = 1) -> None:
+        if lines:
+            written, read, over = PAIRS[state - 1]
+            # a decoder takes what is cut off by a line break as that alone, but what is cut off by the end with all that is left
+            text = _read(b"\n".join(lines) + b"\n\n\n\n", read)
+            for _ in range(over - 1):
+                text = _read(_write(text, written) or b"", read)
+            add(state, text[:-3], times)
+
+    if texts:
+        add(0, "\n".join(texts) + "\n")
     writable: dict[str, list[bytes]] = {}
     other = [t for t in texts if not t.isascii()]
     for name in dict.fromkeys(p[0] for p in PAIRS):
         writable[name] = [b for t in other if (b := _write(t, name)) is not None]
     # texts of Western alphabets hold few damaged characters each: where both are written, they count as much as all others
-    writable["utf-8"] += [t.decode("cp1252", "ignore").encode() for t in writable["cp1252"]] * (WESTERN - 1)
-    for i, (written, read, times) in enumerate(PAIRS):
-        text = _read(b"\n".join(writable[written]), read)
-        for _ in range(times - 1):
-            text = _read(_write(text, written) or b"", read)
-        add(i + 1, text)
+    western = [t.decode("cp1252", "ignore").encode() for t in writable["cp1252"]]
+    for i, (written, _, _) in enumerate(PAIRS):
+        hurt(i + 1, writable[written])
+        if written == "utf-8":
+            hurt(i + 1, western, WESTERN - 1)
     return out
 
 
 def _counts(texts: DataFrame) -> np.ndarray:
-    """The counts over a column ``t`` of texts, summed over all partitions; their number is that of the tables' slots."""
+    """The counts over a column ``t`` of texts, summed over all partitions, as whole numbers; how many there are is that of the tables' slots."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, held, size = None, [], 0
@@ -183,8 +192,8 @@ def _counts(texts: DataFrame) -> np.ndarray:
                 part = at[i : i + 100_000]
                 yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(flat[part])], names=["slot", "n"])
 
-    made = texts.mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(STATES * (SINGLE + DOUBLE), np.float32)
+    made = texts.coalesce(COUNTERS).mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(STATES * (SINGLE + DOUBLE), np.int64)
     out[made.column("slot").to_numpy()] = made.column("n").to_numpy()
     return out.reshape(STATES, SINGLE + DOUBLE)
 
@@ -200,6 +209,7 @@ class Model:
         p = (single + 0.5) / (total + 0.5 * SINGLE)
         p[[ord(c) for c in TRACES], 0] = 1e-12
         self.single = p.astype(np.float32)
+        self.logs = np.log(self.single)
         self.seen = single.astype(np.float32)
         self.known = single[:, 0] >= max(3.0, KNOWN * float(total[0]))
         self.double = np.ascontiguousarray(counts[:, SINGLE:].T)
@@ -207,7 +217,7 @@ class Model:
     def emissions(self, before: np.ndarray, now: np.ndarray) -> np.ndarray:
         """Log-probabilities [n, STATES] of characters, each given the one before."""
         if self.alone:
-            return np.log(self.single[now])
+            return self.logs[now]
         pair = self.double[_double(before, now)]
         pair[(now == ord(LOST)) | ((now >= 0x80) & (now < 0xA0) & (now != 0x85)), 0] = 0
         return np.log((pair + BACKOFF * self.single[now]) / (np.maximum(self.seen[before], pair) + BACKOFF))
@@ -283,7 +293,12 @@ class Model:
     def clean_score(self, text: str) -> float:
         """The log-probability of a text in the clean state."""
         c = _codes("\n" + text)
-        return float(self.emissions(c[:-1], c[1:])[:, 0].sum())
+        before, now = c[:-1], c[1:]
+        if self.alone:
+            return float(self.logs[now, 0].sum())
+        pair = self.double[_double(before, now), 0]
+        pair[(now == ord(LOST)) | ((now >= 0x80) & (now < 0xA0) & (now != 0x85))] = 0
+        return float(np.log((pair + BACKOFF * self.single[now, 0]) / (np.maximum(self.seen[before, 0], pair) + BACKOFF)).sum())
 
     def familiar(self, text: str) -> bool:
         """Nearly all characters of a text beyond ASCII are ones that clean texts hold."""
@@ -323,37 +338,41 @@ class Model:
 
 
 def fit(texts: DataFrame) -> np.ndarray:
-    """The counts of the final model over a DataFrame with one column ``t`` of texts."""
+    """The counts of the final model over a DataFrame with one column ``t`` of texts, all of which are counted."""
     texts = texts.where(F.col("t").isNotNull())
-    counts = _counts(texts)
+    whole = _counts(texts)
+    counts = whole.astype(np.float32)
     for alone in (True, False):
         known = texts.sparkSession.sparkContext.broadcast(counts)
 
-        def sound(batches: Iterator[pa.RecordBatch], known=known, alone=alone) -> Iterator[pa.RecordBatch]:
+        def unsound(batches: Iterator[pa.RecordBatch], known=known, alone=alone) -> Iterator[pa.RecordBatch]:
             model = Model(known.value, alone)
             for batch in batches:
                 for i in range(0, batch.num_rows, ROWS):
                     part = batch.column(0)[i : i + ROWS].to_pylist()
                     labels = model.label(part)
-                    kept = [t for t, x in zip(part, labels) if LOST not in t and (x is None or (m := model.judge(t, x)) is None or not m[1])]
-                    yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string())], names=["t"])
+                    left = [t for t, x in zip(part, labels) if LOST in t or (x is not None and (m := model.judge(t, x)) is not None and m[1])]
+                    yield pa.RecordBatch.from_arrays([pa.array(left, pa.string())], names=["t"])
 
-        counts = _counts(texts.mapInArrow(sound, "t string"))
+        counts = (whole - _counts(texts.mapInArrow(unsound, "t string"))).astype(np.float32)
     return counts
 
 
-def repair(df: DataFrame, key: str, column: str, sample: int = SAMPLE) -> DataFrame:
+def repair(df: DataFrame, key: str, column: str, sample: int | None = None) -> DataFrame:
     """(key, <column>_restored, restored, encodings) of the rows whose text is garbled, wholly or in part.
 
     ``restored`` is true if every damaged span could be turned back without loss; spans that can't stay as they
     are. ``encodings`` names the pairs found. Null and empty texts are never garbled, and a text of ASCII alone can't be told from a sound
-    one; texts are judged whole, whatever their length. Repeated rows each count; other columns are ignored. The model is fitted on about ``sample`` texts.
+    one; texts are judged whole, whatever their length. Repeated rows each count; other columns are ignored. The model is fitted on all texts; only a caller
+    that names a ``sample`` has it fitted on about so many.
     """
     require_columns(df, key, column)
     texts = df.select(F.col(key).alias("_k"), F.col(column).alias("t")).where(F.col("t").isNotNull())
-    share = min(1.0, sample / max(1, df.count()))
-    drawn = texts.where(F.xxhash64(F.lit(7), "_k", "t") <= min(2**63 - 1, int(-(2**63) + share * 2**64))).select("t")
-    counts = df.sparkSession.sparkContext.broadcast(fit(checkpointed(drawn).coalesce(COUNTERS)))
+    taught = texts
+    if sample is not None:
+        share = min(1.0, sample / max(1, df.count()))
+        taught = checkpointed(texts.where(F.xxhash64(F.lit(7), "_k", "t") <= min(2**63 - 1, int(-(2**63) + share * 2**64))))
+    counts = df.sparkSession.sparkContext.broadcast(fit(taught.select("t")))
     kind = dict(df.dtypes)[key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
